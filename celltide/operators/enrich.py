@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from celltide.functions.geo import haversine_km, law_of_cosines_km
 from celltide.functions.grid import Grid, HexGrid
-from celltide.operators.joins import Lookup, broadcast_limit, left_lookup, measure, with_salt
+from celltide.operators.joins import (
+    Lookup,
+    broadcast_limit,
+    left_lookup,
+    staged_lookup,
+    unique_lookup,
+    with_salt,
+)
 from celltide.schemas import BATCH_KEYS
 from celltide.sources.workspace import Workspace
 
@@ -31,7 +38,7 @@ def typed_positions(df: DataFrame, *columns: str) -> DataFrame:
 
 def site_lookup(cell_info: DataFrame) -> Lookup:
     """The cell master, measured, with one row per cell or an error."""
-    return measure(cell_sites(cell_info), ["cell_id"], unique=True)
+    return unique_lookup(cell_sites(cell_info), "cell_id")
 
 
 def attach_sites(df: DataFrame, sites: Lookup) -> DataFrame:
@@ -68,8 +75,9 @@ def fill_sites(joined: DataFrame, workspace: Workspace) -> DataFrame:
     known before the plan decides how to send them back to the rows.
     """
     incomplete = F.col("cell_lat").isNull() | F.col("cell_lon").isNull()
-    staged = workspace.stage(cell_centroids(joined.filter(incomplete)), "centroids")
-    estimated = left_lookup(joined, measure(staged, CENTROID_KEYS), null_safe=True)
+    centroids = cell_centroids(joined.filter(incomplete))
+    side = staged_lookup(centroids, CENTROID_KEYS, workspace, "centroids")
+    estimated = left_lookup(joined, side, null_safe=True)
     kept = [c for c in joined.columns if c not in ("cell_lat", "cell_lon")]
     return estimated.select(
         *kept,

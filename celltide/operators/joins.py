@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from celltide.sources.workspace import Workspace
+
 # Per row of a hashed relation: pointers, null bits and length words.
 _ROW_OVERHEAD_BYTES = 48
 SALTS = 32
@@ -29,15 +31,14 @@ class Lookup:
 
     df: DataFrame
     keys: tuple[str, ...]
-    rows: int
     bytes: int
 
     def fits(self, limit: int) -> bool:
         return 0 <= self.bytes <= limit
 
 
-def measure(df: DataFrame, keys: Sequence[str], unique: bool = False) -> Lookup:
-    """Size a lookup side exactly, and check its key if it is to be ``unique``."""
+def _width(df: DataFrame) -> Column:
+    """Bytes a row takes in a hashed relation, at most."""
     fixed = _ROW_OVERHEAD_BYTES
     texts = []
     for field in df.schema.fields:
@@ -45,20 +46,33 @@ def measure(df: DataFrame, keys: Sequence[str], unique: bool = False) -> Lookup:
             texts.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
         else:
             fixed += 8
-    width = sum(texts, F.lit(fixed)).cast("bigint")
-    if unique:
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
-        known = F.lit(True)
-        for key in keys:
-            known = known & F.col(key).isNotNull()
-        repeated = F.count_if(known & (F.col("n") > 1))
-        totals = per_key.agg(F.sum("n"), F.sum("b"), repeated)
-    else:
-        totals = df.agg(F.count(F.lit(1)), F.sum(width), F.lit(0))
-    rows, size, repeats = totals.first()
+    return sum(texts, F.lit(fixed)).cast("bigint")
+
+
+def unique_lookup(df: DataFrame, key: str) -> Lookup:
+    """Measure a side that must have one row per key; one small job."""
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_width(df)).alias("b")
+    )
+    repeated = F.count_if(F.col(key).isNotNull() & (F.col("n") > 1))
+    size, repeats = per_key.agg(F.sum("b"), repeated).first()
     if repeats:
-        raise DuplicateKeyError(f"{repeats} values of {', '.join(keys)} occur more than once")
-    return Lookup(df, tuple(keys), rows or 0, size or 0)
+        raise DuplicateKeyError(f"{repeats} values of {key} occur more than once")
+    return Lookup(df, (key,), size or 0)
+
+
+def staged_lookup(
+    df: DataFrame, keys: Sequence[str], workspace: Workspace, name: str
+) -> Lookup:
+    """Write a computed side once and measure it on the way.
+
+    The measure counts again what a lost executor makes it write again: it can
+    only come out too high, which is the safe side for a broadcast.
+    """
+    seen = Observation()
+    width = F.coalesce(F.sum(_width(df)), F.lit(0)).alias("bytes")
+    staged = workspace.stage(df.observe(seen, width), name)
+    return Lookup(staged, tuple(keys), seen.get["bytes"])
 
 
 def broadcast_limit(df: DataFrame) -> int:

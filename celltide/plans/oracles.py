@@ -20,6 +20,11 @@ def _round(value: str, digits: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(28, 12)), {digits}) AS DOUBLE)"
 
 
+def _nudged(value: str, digits: int) -> str:
+    """Rounded off the ties that means of short decimals sit on, as the queries do."""
+    return _round(f"({value}) + 1e-9", digits)
+
+
 def _hexes(source: str) -> str:
     """Axial cell of each position: project, round the cube, mend the worst component."""
     return f"""
@@ -178,7 +183,7 @@ def _with(query: str, *parts: str) -> str:
 
 
 def _six(*columns: str) -> str:
-    return ", ".join(f"{_round(c, 6)} AS {c}" for c in columns)
+    return ", ".join(f"{_nudged(c, 6)} AS {c}" for c in columns)
 
 
 _ENDS = _six("cell_lat", "cell_lon", "h3_center_lat", "h3_center_lon")
@@ -263,8 +268,8 @@ ORACLES: dict[str, str] = {
     "dq_generic_orders": _violations("orders", "o_orderstatus", _ORDER_RULES),
     "geo_hex_bin": _with(f"SELECT event_id, h3_index FROM ({_hexes('mdt')})", "mdt"),
     "geo_hex_center": _with(
-        f"""SELECT h3_index, {_round(_lat(_Y), 7)} AS h3_center_lat,
-           {_round(_lng(_X), 7)} AS h3_center_lon FROM cells""",
+        f"""SELECT h3_index, {_nudged(_lat(_Y), 7)} AS h3_center_lat,
+           {_nudged(_lng(_X), 7)} AS h3_center_lon FROM cells""",
         "cells",
     ),
     "geo_hex_wkt": _with(f"SELECT h3_index, {_outline()} FROM cells", "cells"),
@@ -290,8 +295,8 @@ ORACLES: dict[str, str] = {
         "cell_info",
     ),
     "enr_cell_centroid": _with(
-        f"""SELECT date, hour, cell_id, {_round('avg(lat)', 6)} AS est_cell_lat,
-           {_round('avg(lng)', 6)} AS est_cell_lon FROM clean GROUP BY date, hour, cell_id""",
+        f"""SELECT date, hour, cell_id, {_nudged('avg(lat)', 6)} AS est_cell_lat,
+           {_nudged('avg(lng)', 6)} AS est_cell_lon FROM clean GROUP BY date, hour, cell_id""",
         "clean",
     ),
     "enr_fill_site": _with(
@@ -325,8 +330,8 @@ ORACLES: dict[str, str] = {
         "mapped",
     ),
     "serve_arcs": _with(
-        f"""SELECT {_round('cell_lat', 6)} AS lat0, {_round('cell_lon', 6)} AS lng0,
-           {_round('h3_center_lat', 6)} AS lat1, {_round('h3_center_lon', 6)} AS lng1,
+        f"""SELECT {_nudged('cell_lat', 6)} AS lat0, {_nudged('cell_lon', 6)} AS lng0,
+           {_nudged('h3_center_lat', 6)} AS lat1, {_nudged('h3_center_lon', 6)} AS lng1,
            user_density_count AS user_density, avg_rsrp, record_time FROM mapped
            WHERE cell_lat IS NOT NULL AND cell_lon IS NOT NULL
              AND h3_center_lat IS NOT NULL AND h3_center_lon IS NOT NULL""",

@@ -41,10 +41,12 @@ DATE = "2026-05-05"
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema("event_id bigint, user_id bigint").parquet(
+        f"{sf_dir}/events.parquet"
+    )
     return spark.sql(MDT_SQL.replace("FROM events", "FROM {events}"), events=events)
 
 
 def cell_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    nation = spark.read.schema("n_nationkey int").parquet(f"{sf_dir}/nation.parquet")
     return spark.sql(CELL_INFO_SQL.replace("FROM nation", "FROM {nation}"), nation=nation)

@@ -123,6 +123,8 @@ class Lakehouse:
     def enrich(self, batches: Sequence[Batch], cell_info: DataFrame) -> None:
         """Clean rows with grid cell, site and distance."""
         s = self.settings
+        if self.checked.scan_if_present() is None:
+            return
         # staged once: a database would be read again by every job below
         sites = en.site_lookup(self.workspace.stage(cell_info, "cell_info"))
         clean = self.clean(batches)
@@ -172,11 +174,13 @@ def run_range(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -
 def run_stored(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -> Outcome:
     """The stages behind ingest, for batches that are in bronze."""
     outcome = lake.check(batches)
-    if outcome.passed:
-        lake.enrich(outcome.passed, cell_info)
-        lake.aggregate(outcome.passed)
+    # an hour that has become empty goes on too, to be emptied in every table
+    onward = [b for b in batches if b not in outcome.blocked]
+    if onward:
+        lake.enrich(onward, cell_info)
+        lake.aggregate(onward)
         if lake.settings.database is not None:
-            lake.publish(outcome.passed)
+            lake.publish(onward)
     for b in outcome.blocked:
         log.error("batch %s is below %.1f%%", b.key, lake.settings.gate_percent)
     return outcome

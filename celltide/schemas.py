@@ -114,7 +114,7 @@ _TYPES = {
 }
 
 
-def _table(*parts: T.StructType | str) -> T.StructType:
+def table_schema(*parts: T.StructType | str) -> T.StructType:
     """Join schemas and ``name type, ...`` texts, without needing a session."""
     fields: list[T.StructField] = []
     for part in parts:
@@ -126,35 +126,35 @@ def _table(*parts: T.StructType | str) -> T.StructType:
     return T.StructType(fields)
 
 
-LANDING = _table(
+LANDING = table_schema(
     "time_ms double, p_cell_rsrp int, p_cell_rsrq double, lat double, lng double,"
     "province_name string, district_name string, date_hour string, cell_id string"
 )
 
-BATCH = _table("date string, hour string")
+BATCH = table_schema("date string, hour string")
 
-RAW = _table(LANDING, BATCH)
+RAW = table_schema(LANDING, BATCH)
 
 # verdict tells accepted rows ("clean") from quarantined ones ("dirty")
-CHECKED = _table(LANDING, "processed_at timestamp, verdict string", BATCH)
+CHECKED = table_schema(LANDING, "processed_at timestamp, verdict string", BATCH)
 
-REPORT = _table(
+REPORT = table_schema(
     "total_raw_records bigint, duplicate_count bigint, clean_count bigint, dirty_count bigint,"
     "gx_success_rate double, gx_total_rules bigint, gx_failed_rules bigint, gx_is_passed boolean,"
     "created_at timestamp",
     BATCH,
 )
 
-CELL_INFO = _table("cell_code string, x_ double, y_ double")
+CELL_INFO = table_schema("cell_code string, x_ double, y_ double")
 
-ENRICHED = _table(
+ENRICHED = table_schema(
     LANDING,
     "processed_at timestamp, h3_index string, h3_center_lat double, h3_center_lon double,"
     "cell_lat double, cell_lon double, cell_pos_source string, distance_to_cell_km double",
     BATCH,
 )
 
-GOLD = _table(
+GOLD = table_schema(
     "h3_index string, cell_id string, user_density_count bigint, avg_rsrp double, p10_rsrp int,"
     "avg_distance_km double, weak_signal_ratio double, h3_center_lat double, h3_center_lon double,"
     "cell_lat double, cell_lon double",

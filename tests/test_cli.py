@@ -1,0 +1,48 @@
+import pytest
+from helpers import land, measurement
+
+from celltide import __main__ as cli
+from celltide import schemas
+from celltide.schemas import Batch
+
+
+def _args(tmp_path, stage, *more):
+    return cli.parser().parse_args(
+        [stage, "--landing", str(tmp_path / "landing"), "--lake", str(tmp_path / "lake"),
+         "--date", "2026-05-05", *more]
+    )
+
+
+def test_hours_of_a_command(tmp_path):
+    assert len(cli.batches_of(_args(tmp_path, "all"))) == 24
+    assert cli.batches_of(_args(tmp_path, "all", "--hour", "09")) == [Batch("2026-05-05", "09")]
+    assert len(cli.batches_of(_args(tmp_path, "all", "--until", "2026-05-06-00"))) == 25
+    with pytest.raises(ValueError):
+        cli.batches_of(_args(tmp_path, "all", "--hour", "9"))
+
+
+def test_stages_one_by_one(spark, tmp_path):
+    nine = Batch("2026-05-05", "09")
+    land(str(tmp_path / "landing"), nine, [measurement(), measurement(cell_id="b", lat=21.6)])
+    spark.createDataFrame([("a", 21.5, 105.8)], schemas.CELL_INFO).write.parquet(
+        str(tmp_path / "cells")
+    )
+    more = ["--hour", "09", "--cells", str(tmp_path / "cells"), "--out", str(tmp_path / "out")]
+    for stage in ("ingest", "check", "enrich", "aggregate", "map"):
+        assert cli.run(spark, _args(tmp_path, stage, *more)) == 0
+    rows = spark.read.parquet(str(tmp_path / "out/map/2026-05-05")).collect()
+    assert {r.cell_id for r in rows} == {"a", "b"}
+    assert spark.read.parquet(str(tmp_path / "out/audit/2026-05-05")).count() == 1
+
+
+def test_a_blocked_hour_fails_the_command(spark, tmp_path):
+    bad = measurement(lat=0.0, lng=0.0, p_cell_rsrp=-150, p_cell_rsrq=0.0, date_hour="x")
+    land(str(tmp_path / "landing"), Batch("2026-05-05", "09"), [bad, measurement(lng=None)])
+    args = _args(tmp_path, "check", "--hour", "09")
+    cli.run(spark, _args(tmp_path, "ingest", "--hour", "09"))
+    assert cli.run(spark, args) == 1
+
+
+def test_a_master_must_be_named(spark, tmp_path):
+    with pytest.raises(SystemExit):
+        cli.run(spark, _args(tmp_path, "enrich", "--hour", "09"))

@@ -1,0 +1,141 @@
+import pytest
+from helpers import as_set, frame, measurement
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from celltide import schemas
+from celltide.operators import enrich as en
+from celltide.operators import kpi
+from celltide.operators.joins import DuplicateKeyError
+
+MASTER = [("a", 21.5, 105.8), ("half", 21.6, None), ("unused", 1.0, 2.0)]
+
+
+@pytest.fixture
+def clean(spark):
+    rows = [
+        measurement(cell_id=cell, hour=hour, lat=21.5 + i / 1000, lng=105.8 + i / 500)
+        for hour in ("09", "10")
+        for i, cell in enumerate(["a", "a", "half", "half", "new", "new", "new", None, None, ""])
+    ]
+    return frame(spark, rows)
+
+
+@pytest.fixture
+def cell_info(spark):
+    return spark.createDataFrame(MASTER, schemas.CELL_INFO)
+
+
+def test_every_row_is_kept_once(clean, cell_info, workspace):
+    got = en.enrich(clean, en.site_lookup(cell_info), workspace)
+    assert got.count() == clean.count()
+    assert got.select(clean.columns).exceptAll(clean).isEmpty()
+
+
+def test_filled_sites_equal_the_window_form(clean, cell_info, workspace):
+    joined = en.attach_sites(clean, en.site_lookup(cell_info))
+    cell = Window.partitionBy("date", "hour", "cell_id")
+    windowed = joined.select(
+        *clean.columns,
+        F.round(F.coalesce("cell_lat", F.avg("lat").over(cell)), 9).alias("cell_lat"),
+        F.round(F.coalesce("cell_lon", F.avg("lng").over(cell)), 9).alias("cell_lon"),
+    )
+    filled = en.fill_sites(joined, workspace).select(
+        *clean.columns,
+        F.round("cell_lat", 9).alias("cell_lat"),
+        F.round("cell_lon", 9).alias("cell_lon"),
+    )
+    assert as_set(filled) == as_set(windowed)
+
+
+def test_source_of_a_position_is_told(clean, cell_info, workspace):
+    got = en.enrich(clean, en.site_lookup(cell_info), workspace)
+    sources = {(r.cell_id, r.cell_pos_source) for r in got.collect()}
+    assert sources == {
+        ("a", "master"), ("half", "estimated"), ("new", "estimated"),
+        (None, "estimated"), ("", "estimated"),
+    }
+    half = got.filter("cell_id = 'half'").first()
+    assert half.cell_lat == 21.6 and half.cell_lon is not None
+
+
+def test_without_broadcasts_the_result_is_the_same(spark, clean, cell_info, workspace):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    sites = en.site_lookup(cell_info)
+    expected = as_set(en.enrich(clean, sites, workspace))
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        df = en.enrich(clean, sites, workspace)
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.columns[-2:] == ["distance_to_cell_km", "h3_index"]
+        assert as_set(df) == expected
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_lone_unknown_cell_is_at_its_phone(spark, workspace):
+    rows = [measurement(cell_id=f"c{i}", lat=21.5 + i * 0.0011) for i in range(200)]
+    none = spark.createDataFrame([], schemas.CELL_INFO)
+    got = en.enrich(frame(spark, rows), en.site_lookup(none), workspace)
+    assert {r.distance_to_cell_km for r in got.collect()} == {0.0}
+
+
+def test_distance_methods_agree(clean, cell_info, workspace):
+    sites = en.site_lookup(cell_info)
+    a = en.enrich(clean, sites, workspace)
+    b = en.enrich(clean, sites, workspace, method="law_of_cosines")
+    digits = F.round("distance_to_cell_km", 3)
+    assert as_set(a.select(digits)) == as_set(b.select(digits))
+
+
+def test_a_repeated_master_cell_is_refused(spark):
+    twice = spark.createDataFrame([("a", 1.0, 2.0), ("a", 3.0, 4.0)], schemas.CELL_INFO)
+    with pytest.raises(DuplicateKeyError):
+        en.site_lookup(twice)
+
+
+def test_text_positions_in_the_master(spark):
+    texts = spark.createDataFrame(
+        [("a", "21.5", "x"), ("b", None, "105")], "cell_code string, x_ string, y_ string"
+    )
+    assert as_set(en.cell_sites(texts)) == [("a", 21.5, None), ("b", None, 105.0)]
+
+
+def test_unmatched_cells(clean, cell_info):
+    got = as_set(en.unmatched_cells(clean, cell_info), "cell_id", "samples")
+    assert got == [("", 2), ("new", 6)]
+
+
+def _indicators(spark, signals, distances=None):
+    rows = [
+        ("2026-05-05", "09", "h", "c", s, d, 1.0, 2.0)
+        for s, d in zip(signals, distances or [1.0] * len(signals))
+    ]
+    schema = (
+        "date string, hour string, h3_index string, cell_id string, p_cell_rsrp int,"
+        "distance_to_cell_km double, cell_lat double, cell_lon double"
+    )
+    return spark.createDataFrame(rows, schema)
+
+
+def test_indicators_by_hand(spark):
+    df = _indicators(spark, [-120, -111, -110, None], [0.1, 0.2, None, 0.4])
+    got = kpi.indicators(df, kpi.GOLD_KEYS).first()
+    assert got.user_density_count == 4
+    assert got.avg_rsrp == -113.67
+    assert got.p10_rsrp == -120
+    assert got.avg_distance_km == 0.23
+    assert got.weak_signal_ratio == 0.5
+
+
+@pytest.mark.parametrize("size", [1, 9, 10, 11, 100, 1999])
+def test_weakest_tenth_is_the_measured_rank(spark, size):
+    signals = [-44 - (i * 37) % 97 for i in range(size)]
+    got = kpi.indicators(_indicators(spark, signals), ["cell_id"]).first()
+    assert got.p10_rsrp == sorted(signals)[max(0, -(-size // 10) - 1)]
+
+
+def test_a_group_without_signal_has_no_mean(spark):
+    got = kpi.indicators(_indicators(spark, [None, None]), ["cell_id"]).first()
+    assert (got.avg_rsrp, got.p10_rsrp, got.weak_signal_ratio) == (None, None, 0.0)

@@ -79,7 +79,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return 0
     if args.stage == "all":
         outcome = run_range(lake, batches, cells(spark, args, db))
-        return 1 if outcome.blocked else 0
+        return 1 if outcome.blocked or outcome.missing else 0
     if args.stage == "check":
         return 1 if lake.check(batches).blocked else 0
     if args.stage == "enrich":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.functions.geo import haversine_km, law_of_cosines_km
@@ -67,23 +67,36 @@ def cell_centroids(df: DataFrame) -> DataFrame:
     )
 
 
-def fill_sites(joined: DataFrame, workspace: Workspace) -> DataFrame:
+def _incomplete() -> Column:
+    return F.col("cell_lat").isNull() | F.col("cell_lon").isNull()
+
+
+def centroid_lookup(df: DataFrame, sites: Lookup, workspace: Workspace) -> Lookup:
+    """Centroids of the cells whose site the master does not fully know.
+
+    Measurements are aggregated before they meet the master, so neither the
+    size of the master nor a crowded cell matters here. The result is staged:
+    its size decides how it goes back to the rows.
+    """
+    centroids = cell_centroids(df).join(sites.df, "cell_id", "left").filter(_incomplete())
+    columns = (*CENTROID_KEYS, "est_cell_lat", "est_cell_lon")
+    return staged_lookup(centroids.select(*columns), CENTROID_KEYS, workspace, "centroids")
+
+
+def fill_sites(joined: DataFrame, centroids: Lookup) -> DataFrame:
     """Replace each missing site coordinate by the cell's centroid.
 
-    Only cells with a coordinate missing are averaged, as all rows of a cell
-    share the master's answer. Their centroids are staged, so their size is
-    known before the plan decides how to send them back to the rows.
+    All rows of a cell share the master's answer, so a cell is estimated as a
+    whole or not at all. Rows without a cell share one estimate.
     """
-    incomplete = F.col("cell_lat").isNull() | F.col("cell_lon").isNull()
-    centroids = cell_centroids(joined.filter(incomplete))
-    side = staged_lookup(centroids, CENTROID_KEYS, workspace, "centroids")
-    estimated = left_lookup(joined, side, null_safe=True)
+    estimated = left_lookup(joined, centroids, null_safe=True)
     kept = [c for c in joined.columns if c not in ("cell_lat", "cell_lon")]
+    source = F.when(_incomplete(), F.lit("estimated")).otherwise(F.lit("master"))
     return estimated.select(
         *kept,
         F.coalesce("cell_lat", "est_cell_lat").alias("cell_lat"),
         F.coalesce("cell_lon", "est_cell_lon").alias("cell_lon"),
-        F.when(incomplete, F.lit("estimated")).otherwise(F.lit("master")).alias("cell_pos_source"),
+        source.alias("cell_pos_source"),
     )
 
 
@@ -94,10 +107,16 @@ def add_distance(df: DataFrame, method: str = "haversine") -> DataFrame:
     return df.withColumn("distance_to_cell_km", formula(*ends))
 
 
+def scatters(df: DataFrame, *sides: Lookup) -> bool:
+    """Whether enriching shuffles the measurements, as some side is too large to broadcast."""
+    limit = broadcast_limit(df)
+    return not all(side.fits(limit) for side in sides)
+
+
 def enrich(
     clean: DataFrame,
     sites: Lookup,
-    workspace: Workspace,
+    centroids: Lookup,
     grid: Grid = HexGrid(),
     method: str = "haversine",
 ) -> DataFrame:
@@ -105,7 +124,7 @@ def enrich(
 
     ``clean`` should come from a scan: see ``with_salt``.
     """
-    if not sites.fits(broadcast_limit(clean)):
-        clean = with_salt(clean)  # before the first shuffle, for both lookups
-    filled = fill_sites(attach_sites(clean, sites), workspace).drop("_salt")
+    if scatters(clean, sites, centroids):
+        clean = with_salt(clean)  # once, on the scan, for both lookups
+    filled = fill_sites(attach_sites(clean, sites), centroids).drop("_salt")
     return grid.assign(add_distance(filled, method), "lat", "lng")

@@ -39,8 +39,12 @@ def map_rows(gold: DataFrame) -> DataFrame:
 
 
 def map_day(gold: DataFrame, date: str) -> DataFrame:
-    """One day for the map, by hour."""
-    return map_rows(gold.filter(F.col("date") == date)).orderBy("record_time")
+    """One day for the map, by hour.
+
+    The further sort columns let a crowded hour spread over many tasks.
+    """
+    day = map_rows(gold.filter(F.col("date") == date))
+    return day.orderBy("record_time", "h3_index", "cell_id")
 
 
 def audit_day(report: DataFrame, date: str) -> DataFrame:

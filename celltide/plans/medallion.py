@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +45,12 @@ class Settings:
 
 @dataclass(frozen=True)
 class Outcome:
-    """Batches by fate: scored well enough, held back, or without any row."""
+    """Batches by fate: scored well enough, held back, without any row, or without a file."""
 
     passed: list[Batch]
     blocked: list[Batch]
     empty: list[Batch]
+    missing: list[Batch] = field(default_factory=list)
 
 
 class Lakehouse:
@@ -128,10 +129,16 @@ class Lakehouse:
         # staged once: a database would be read again by every job below
         sites = en.site_lookup(self.workspace.stage(cell_info, "cell_info"))
         clean = self.clean(batches)
-        rows = en.enrich(clean, sites, self.workspace, s.grid, s.distance)
+        centroids = en.centroid_lookup(clean, sites, self.workspace)
+        rows = en.enrich(clean, sites, centroids, s.grid, s.distance)
         rows = s.grid.add_centre(rows, "h3_index", "h3_center_lat", "h3_center_lon")
         columns = [f.name for f in schemas.ENRICHED]
-        self.enriched.replace(rows.select(*columns), batches, keys_from=clean)
+        self.enriched.replace(
+            rows.select(*columns),
+            batches,
+            keys_from=clean,
+            rebalance=en.scatters(clean, sites, centroids),
+        )
 
     def aggregate(self, batches: Sequence[Batch]) -> None:
         """Enriched rows to gold."""
@@ -166,9 +173,20 @@ class Lakehouse:
 
 
 def run_range(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -> Outcome:
-    """Every stage over all batches. Blocked hours stop after the quality stage."""
-    lake.ingest(batches)
-    return run_stored(lake, batches, cell_info)
+    """Every stage over all batches.
+
+    One bad hour does not hold up the others: blocked hours stop after the
+    quality stage, hours without a landing file are left as they are.
+    """
+    s = lake.settings
+    arrived = landing.landed(lake.spark, s.landing, batches, s.file_name)
+    missing = [b for b in batches if b not in set(arrived)]
+    for b in missing:
+        log.error("batch %s has no landing file", b.key)
+    if not arrived:
+        return Outcome([], [], [], missing)
+    lake.ingest(arrived)
+    return replace(run_stored(lake, arrived, cell_info), missing=missing)
 
 
 def run_stored(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -> Outcome:
@@ -187,8 +205,10 @@ def run_stored(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame)
 
 
 def run_batch(lake: Lakehouse, batch: Batch, cell_info: DataFrame) -> Outcome:
-    """One hour; a blocked one raises once its evidence is stored."""
+    """One hour; a blocked one raises once its evidence is stored, a missing one at once."""
     outcome = run_range(lake, [batch], cell_info)
+    if outcome.missing:
+        raise FileNotFoundError(f"batch {batch.key} has no landing file")
     if outcome.blocked:
         raise quality.QualityGateError(
             f"batch {batch.key} is below {lake.settings.gate_percent:.1f}%"

@@ -12,6 +12,7 @@ from celltide.functions.geo import law_of_cosines_km
 from celltide.functions.grid import HexGrid
 from celltide.operators import enrich as en
 from celltide.operators import kpi, quality, serve
+from celltide.operators.joins import Lookup
 from celltide.plans.medallion import Lakehouse, Settings, run_range
 from celltide.schemas import Batch
 from celltide.sources import landing
@@ -35,13 +36,19 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.accepted(measurements(spark, sf_dir))
 
 
-def _sited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return en.attach_sites(_clean(spark, sf_dir), en.site_lookup(cell_info(spark, sf_dir)))
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Lookup, Lookup]:
+    clean = _clean(spark, sf_dir)
+    sites = en.site_lookup(cell_info(spark, sf_dir))
+    return clean, sites, en.centroid_lookup(clean, sites, Workspace(spark))
+
+
+def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean, sites, centroids = _sides(spark, sf_dir)
+    return en.fill_sites(en.attach_sites(clean, sites), centroids)
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = en.site_lookup(cell_info(spark, sf_dir))
-    return en.enrich(_clean(spark, sf_dir), sites, Workspace(spark))
+    return en.enrich(*_sides(spark, sf_dir))
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,13 +265,13 @@ def geo_hex_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def geo_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = en.add_distance(en.fill_sites(_sited(spark, sf_dir), Workspace(spark)))
+    measured = en.add_distance(_filled(spark, sf_dir))
     return _rounded(measured.select("event_id", "distance_to_cell_km"), 6, "distance_to_cell_km")
 
 
 @registered
 def geo_distance_slc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = en.fill_sites(_sited(spark, sf_dir), Workspace(spark))
+    filled = _filled(spark, sf_dir)
     ends = [F.col(c) for c in ("lat", "lng", "cell_lat", "cell_lon")]
     return filled.select(
         "event_id", F.round(law_of_cosines_km(*ends), 2).alias("distance_to_cell_km")
@@ -273,7 +280,9 @@ def geo_distance_slc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def enr_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sited(spark, sf_dir).select("event_id", "cell_id", "cell_lat", "cell_lon")
+    sites = en.site_lookup(cell_info(spark, sf_dir))
+    sited = en.attach_sites(_clean(spark, sf_dir), sites)
+    return sited.select("event_id", "cell_id", "cell_lat", "cell_lon")
 
 
 @registered
@@ -289,7 +298,7 @@ def enr_cell_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def enr_fill_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = en.fill_sites(_sited(spark, sf_dir), Workspace(spark))
+    filled = _filled(spark, sf_dir)
     sites = filled.select("event_id", "cell_id", "cell_lat", "cell_lon", "cell_pos_source")
     return _rounded(sites, 6, "cell_lat", "cell_lon")
 

@@ -23,16 +23,16 @@ SELECT event_id,
        WHEN event_id % 79 = 8 AND event_id % 24 >= 22 THEN 110.0e0
        ELSE 105.8e0 + ((user_id*47) % 40)/1000.0e0 + ((event_id*29) % 200)/100000.0e0 END AS lng,
   concat('2026-05-05-', lpad(CAST(CASE WHEN event_id % 97 = 4 AND event_id % 24 >= 16
-       THEN (event_id+1) % 24 ELSE event_id % 24 END AS VARCHAR(2)), 2, '0')) AS date_hour,
+       THEN (event_id+1) % 24 ELSE event_id % 24 END AS STRING), 2, '0')) AS date_hour,
   CASE WHEN event_id % 101 = 6 AND event_id % 24 >= 18 THEN NULL
        WHEN event_id % 103 = 7 AND event_id % 24 >= 20 THEN ''
-       ELSE concat('c', CAST(user_id % 40 AS VARCHAR(4))) END AS cell_id,
-  '2026-05-05' AS date, lpad(CAST(event_id % 24 AS VARCHAR(2)), 2, '0') AS hour
+       ELSE concat('c', CAST(user_id % 40 AS STRING)) END AS cell_id,
+  '2026-05-05' AS date, lpad(CAST(event_id % 24 AS STRING), 2, '0') AS hour
   FROM events
 """
 
 CELL_INFO_SQL = """
-SELECT concat('c', CAST(n_nationkey AS VARCHAR(4))) AS cell_code,
+SELECT concat('c', CAST(n_nationkey AS STRING)) AS cell_code,
   21.5e0 + ((n_nationkey*31) % 40)/1000.0e0 AS x_,
   105.8e0 + ((n_nationkey*47) % 40)/1000.0e0 AS y_ FROM nation
 """

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from celltide.schemas import LANDING, Batch
+from celltide.sources.workspace import hadoop_path
 
 # Fixed value: the name of an hour's file.
 FILE_NAME = "mdt_records_{date}-{hour}.csv"
@@ -35,6 +36,17 @@ def batch_of_file(name: str = FILE_NAME) -> tuple[Column, Column]:
     )
 
 
+def landed(
+    spark: SparkSession, folder: str, batches: Sequence[Batch], name: str = FILE_NAME
+) -> list[Batch]:
+    """Those of the hours whose file has arrived: one listing per day."""
+    there = set()
+    for date in {b.date for b in batches}:
+        fs, pattern = hadoop_path(spark, f"{folder}/{name.format(date=date, hour='*')}")
+        there |= {status.getPath().getName() for status in fs.globStatus(pattern) or []}
+    return [b for b in batches if name.format(date=b.date, hour=b.hour) in there]
+
+
 def read_landing(
     spark: SparkSession, folder: str, batches: Sequence[Batch], name: str = FILE_NAME
 ) -> DataFrame:

@@ -26,21 +26,27 @@ def cell_info(spark):
     return spark.createDataFrame(MASTER, schemas.CELL_INFO)
 
 
+def _enrich(df, sites, workspace, **options):
+    return en.enrich(df, sites, en.centroid_lookup(df, sites, workspace), **options)
+
+
 def test_every_row_is_kept_once(clean, cell_info, workspace):
-    got = en.enrich(clean, en.site_lookup(cell_info), workspace)
+    got = _enrich(clean, en.site_lookup(cell_info), workspace)
     assert got.count() == clean.count()
     assert got.select(clean.columns).exceptAll(clean).isEmpty()
 
 
 def test_filled_sites_equal_the_window_form(clean, cell_info, workspace):
-    joined = en.attach_sites(clean, en.site_lookup(cell_info))
+    sites = en.site_lookup(cell_info)
+    joined = en.attach_sites(clean, sites)
     cell = Window.partitionBy("date", "hour", "cell_id")
     windowed = joined.select(
         *clean.columns,
         F.round(F.coalesce("cell_lat", F.avg("lat").over(cell)), 9).alias("cell_lat"),
         F.round(F.coalesce("cell_lon", F.avg("lng").over(cell)), 9).alias("cell_lon"),
     )
-    filled = en.fill_sites(joined, workspace).select(
+    centroids = en.centroid_lookup(clean, sites, workspace)
+    filled = en.fill_sites(joined, centroids).select(
         *clean.columns,
         F.round("cell_lat", 9).alias("cell_lat"),
         F.round("cell_lon", 9).alias("cell_lon"),
@@ -49,7 +55,7 @@ def test_filled_sites_equal_the_window_form(clean, cell_info, workspace):
 
 
 def test_source_of_a_position_is_told(clean, cell_info, workspace):
-    got = en.enrich(clean, en.site_lookup(cell_info), workspace)
+    got = _enrich(clean, en.site_lookup(cell_info), workspace)
     sources = {(r.cell_id, r.cell_pos_source) for r in got.collect()}
     assert sources == {
         ("a", "master"), ("half", "estimated"), ("new", "estimated"),
@@ -62,11 +68,11 @@ def test_source_of_a_position_is_told(clean, cell_info, workspace):
 def test_without_broadcasts_the_result_is_the_same(spark, clean, cell_info, workspace):
     name = "spark.sql.autoBroadcastJoinThreshold"
     sites = en.site_lookup(cell_info)
-    expected = as_set(en.enrich(clean, sites, workspace))
+    expected = as_set(_enrich(clean, sites, workspace))
     before = spark.conf.get(name)
     spark.conf.set(name, "-1")
     try:
-        df = en.enrich(clean, sites, workspace)
+        df = _enrich(clean, sites, workspace)
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
         assert df.columns[-2:] == ["distance_to_cell_km", "h3_index"]
         assert as_set(df) == expected
@@ -77,14 +83,24 @@ def test_without_broadcasts_the_result_is_the_same(spark, clean, cell_info, work
 def test_a_lone_unknown_cell_is_at_its_phone(spark, workspace):
     rows = [measurement(cell_id=f"c{i}", lat=21.5 + i * 0.0011) for i in range(200)]
     none = spark.createDataFrame([], schemas.CELL_INFO)
-    got = en.enrich(frame(spark, rows), en.site_lookup(none), workspace)
+    got = _enrich(frame(spark, rows), en.site_lookup(none), workspace)
     assert {r.distance_to_cell_km for r in got.collect()} == {0.0}
 
 
+def test_a_complete_master_needs_no_estimate(spark, clean, workspace):
+    full = spark.createDataFrame(
+        [(c, 21.5, 105.8) for c in ("a", "half", "new", "")], schemas.CELL_INFO
+    )
+    known = clean.filter("cell_id IS NOT NULL")
+    got = _enrich(known, en.site_lookup(full), workspace)
+    assert as_set(got.select("cell_pos_source").distinct()) == [("master",)]
+    assert got.count() == known.count()
+
+
 def test_distance_methods_agree(clean, cell_info, workspace):
     sites = en.site_lookup(cell_info)
-    a = en.enrich(clean, sites, workspace)
-    b = en.enrich(clean, sites, workspace, method="law_of_cosines")
+    a = _enrich(clean, sites, workspace)
+    b = _enrich(clean, sites, workspace, method="law_of_cosines")
     digits = F.round("distance_to_cell_km", 3)
     assert as_set(a.select(digits)) == as_set(b.select(digits))
 

@@ -93,6 +93,30 @@ def test_a_corrected_hour_replaces_the_old_one(make, cell_info, tmp_path):
         assert table.scan().isEmpty()
 
 
+def test_without_broadcasts_the_tables_are_the_same(spark, make, cell_info):
+    expected, large = make("small"), make("large")
+    run_range(expected, HOURS, cell_info)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        run_range(large, HOURS, cell_info)
+    finally:
+        spark.conf.set(name, before)
+    assert _tables(large) == _tables(expected)
+
+
+def test_a_missing_file_holds_up_its_hour_only(make, cell_info):
+    lake = make("lake")
+    absent = Batch(DAY, "12")
+    outcome = run_range(lake, [HOURS[0], absent], cell_info)
+    assert (outcome.passed, outcome.missing) == ([HOURS[0]], [absent])
+    assert {r.hour for r in lake.gold.scan().collect()} == {"07"}
+    assert run_range(lake, [absent], cell_info).missing == [absent]
+    with pytest.raises(FileNotFoundError):
+        run_batch(lake, absent, cell_info)
+
+
 def test_the_map_and_audit_of_a_day(make, cell_info):
     lake = make("lake")
     assert lake.map_day(DAY) is None and lake.audit_day(DAY) is None

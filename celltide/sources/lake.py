@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltide.schemas import BATCH_KEYS, Batch, in_batches, in_batches_sql
@@ -47,15 +48,24 @@ class LakeTable:
         return (*self.leading, *BATCH_KEYS)
 
     def scan(self, batches: Iterable[Batch] | None = None) -> DataFrame:
-        """The table, or some of its batches; only their directories are read.
+        """The table, or some of its batches.
 
-        Columns that older files lack read as null.
+        For batches only their directories are listed and read, so that an hour
+        costs the same however long the table is. Columns that older files lack
+        read as null.
         """
         if self.fmt == "delta":
             table = self.spark.read.format("delta").load(self.root)
-        else:
-            table = self.spark.read.schema(self.schema).parquet(self.root)
-        return table if batches is None else table.filter(in_batches(batches))
+            return table if batches is None else table.filter(in_batches(batches))
+        reader = self.spark.read.schema(self.schema)
+        if batches is None:
+            return reader.parquet(self.root)
+        batches = list(batches)
+        leaves = [self._leaf(values) for values in sorted(self._existing(batches))]
+        if leaves:
+            table = reader.option("basePath", self.root).parquet(*leaves)
+            return table.filter(in_batches(batches))
+        return reader.parquet(self.root).filter(F.lit(False))
 
     def scan_if_present(self, batches: Iterable[Batch] | None = None) -> DataFrame | None:
         """None for a table that was never written; any other failure is raised."""

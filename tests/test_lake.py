@@ -75,6 +75,8 @@ def test_rebalanced_hours_are_whole(spark, table):
 
 def test_hour_stays_text_and_partitions_are_pruned(spark, table):
     table.replace(frame(spark, [measurement(hour=h) for h in ("08", "09")]), [EIGHT, NINE])
+    assert all("hour=09" in f for f in table.scan([NINE, TEN]).inputFiles())
+    assert table.scan([TEN]).isEmpty() and table.scan([TEN]).schema == table.scan().schema
     one = table.scan([NINE]).filter("lat > 0").select("lat", "hour")
     assert one.first().hour == "09"
     plan = one._jdf.queryExecution().executedPlan().toString()

@@ -21,14 +21,14 @@ from celltide.sources.workspace import Workspace
 CENTROID_KEYS = (*BATCH_KEYS, "cell_id")
 
 
+# The cell master's column names, and ours. Its x_ is the latitude.
+SITE_COLUMNS = {"cell_code": "cell_id", "x_": "cell_lat", "y_": "cell_lon"}
+
+
 def cell_sites(cell_info: DataFrame) -> DataFrame:
-    """The cell master under our names. Its ``x_`` is the latitude."""
-    sites = cell_info.select(
-        F.col("cell_code").alias("cell_id"),
-        F.col("x_").alias("cell_lat"),
-        F.col("y_").alias("cell_lon"),
-    )
-    return typed_positions(sites, "cell_lat", "cell_lon")
+    """The cell master under our names."""
+    named = cell_info.select(*SITE_COLUMNS).withColumnsRenamed(SITE_COLUMNS)
+    return typed_positions(named, "cell_lat", "cell_lon")
 
 
 def typed_positions(df: DataFrame, *columns: str) -> DataFrame:

@@ -89,7 +89,8 @@ def with_salt(df: DataFrame, salts: int = SALTS) -> DataFrame:
 
     Apply to a scan. The row number restarts in every task and follows the
     scan's order, so a task that is run again salts its rows as before. A hash
-    of the content would not do: copies of one row would share a salt.
+    of the content would not do: copies of one row would share a salt. Where a
+    salted share is still large, adaptive execution splits it as a skewed join.
     """
     return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -134,17 +136,20 @@ def summary(
 
 
 def acceptance(domain: RadioDomain = RadioDomain()) -> Column:
-    """The row predicate; null where a null value leaves it undecided."""
-    return (
-        F.col("lat").isNotNull()
-        & F.col("lng").isNotNull()
-        & (F.col("lat") != 0.0)
-        & F.col("lat").between(*domain.lat)
-        & F.col("lng").between(*domain.lng)
-        & F.col("p_cell_rsrp").between(*domain.rsrp)
-        & F.col("p_cell_rsrq").between(*domain.rsrq)
-        & (F.col("date_hour") == batch_key())
-    )
+    """The row predicate: position known, values in range, hour the batch's.
+
+    An unknown position decides against a row; any other null leaves it undecided.
+    """
+    ranges = {
+        "lat": domain.lat,
+        "lng": domain.lng,
+        "p_cell_rsrp": domain.rsrp,
+        "p_cell_rsrq": domain.rsrq,
+    }
+    known = [F.col(name).isNotNull() for name in ("lat", "lng")]
+    inside = [F.col(name).between(*limits) for name, limits in ranges.items()]
+    # zero is what a receiver without a fix reports; it can lie inside a wider domain
+    return reduce(and_, [*known, *inside, F.col("lat") != 0.0, F.col("date_hour") == batch_key()])
 
 
 def accepted(df: DataFrame, domain: RadioDomain = RadioDomain()) -> DataFrame:

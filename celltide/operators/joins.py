@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,15 +64,14 @@ def unique_lookup(df: DataFrame, key: str) -> Lookup:
 def staged_lookup(
     df: DataFrame, keys: Sequence[str], workspace: Workspace, name: str
 ) -> Lookup:
-    """Write a computed side once and measure it on the way.
+    """Write a computed side once, and measure what was written.
 
-    The measure counts again what a lost executor makes it write again: it can
-    only come out too high, which is the safe side for a broadcast.
+    A plain aggregate over the small copy is exact whatever was lost or run
+    again on the way there; metrics collected during the write are not.
     """
-    seen = Observation()
-    width = F.coalesce(F.sum(_width(df)), F.lit(0)).alias("bytes")
-    staged = workspace.stage(df.observe(seen, width), name)
-    return Lookup(staged, tuple(keys), seen.get["bytes"])
+    staged = workspace.stage(df, name)
+    size = staged.agg(F.sum(_width(staged))).first()[0]
+    return Lookup(staged, tuple(keys), size or 0)
 
 
 def broadcast_limit(df: DataFrame) -> int:

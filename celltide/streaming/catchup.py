@@ -7,14 +7,12 @@ replaces whole hours, so a trigger that is run again changes nothing.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from celltide.plans.medallion import Lakehouse, run_stored
 from celltide.schemas import LANDING, Batch
-from celltide.sources.landing import CSV_OPTIONS, batch_of_file
+from celltide.sources.landing import CSV_OPTIONS, batch_of_file, file_pattern
 
 
 def catch_up(lake: Lakehouse, cell_info: DataFrame, checkpoint: str) -> StreamingQuery:
@@ -24,11 +22,10 @@ def catch_up(lake: Lakehouse, cell_info: DataFrame, checkpoint: str) -> Streamin
     correction by running its hour through ``run_batch``.
     """
     name = lake.settings.file_name
-    pattern = re.sub(r"\{(date|hour)\}", "*", name)
     rows = (
         lake.spark.readStream.schema(LANDING)
         .options(**CSV_OPTIONS)
-        .csv(f"{lake.settings.landing}/{pattern}")
+        .csv(f"{lake.settings.landing}/{file_pattern(name)}")
         .select("*", *batch_of_file(name))
     )
 

@@ -5,6 +5,7 @@ from helpers import as_set, frame, land, measurement
 from pyspark.errors import AnalysisException
 
 from celltide import schemas
+from celltide.operators import quality
 from celltide.schemas import Batch
 from celltide.sources import landing
 from celltide.sources.lake import LakeTable
@@ -84,6 +85,15 @@ def test_hour_stays_text_and_partitions_are_pruned(spark, table):
     assert "GreaterThan(lat,0.0)" in plan and "ReadSchema: struct<lat:double>" in plan
 
 
+def test_the_row_predicate_reaches_the_scan(spark, table):
+    table.replace(frame(spark, [measurement(hour="09")]), [NINE])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = quality.accepted(table.scan([NINE]))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for pushed in ("GreaterThanOrEqual(lat,8.5)", "LessThanOrEqual(p_cell_rsrp,-44)"):
+        assert pushed in plan
+
+
 def test_only_a_missing_table_is_tolerated(spark, table, monkeypatch):
     assert table.scan_if_present([NINE]) is None
     with pytest.raises(AnalysisException):
@@ -122,6 +132,11 @@ def test_landing_files_of_many_hours(spark, tmp_path):
     assert as_set(landing.read_landing(spark, folder, [TEN])) == as_set(both.filter("hour = '10'"))
     with pytest.raises(AnalysisException):
         landing.read_landing(spark, folder, [NINE, EIGHT])
+    land(folder, Batch("2026-05-06", "09"), [])
+    open(f"{folder}/mdt_records_2026-05-05-xx.csv", "w").close()
+    assert landing.landed(spark, folder, Batch.day(DAY)) == [NINE, TEN]
+    with pytest.raises(ValueError, match="leading"):
+        landing.batch_of_file("{date}-{hour}.csv")
 
 
 def test_malformed_numbers_are_null_and_swapped_headers_an_error(spark, tmp_path):
@@ -138,3 +153,23 @@ def test_malformed_numbers_are_null_and_swapped_headers_an_error(spark, tmp_path
 def test_the_shared_folder_is_the_clusters(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert Workspace(spark).root.startswith(shared_folder(spark))
+
+
+class Session:
+    """Just the settings of a session."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, name, default=None):
+        return self.settings.get(name.replace(".", "_"), default)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(Session(spark_master=master))
+        named = Session(spark_master=master, spark_checkpoint_dir="s3a://scratch/")
+        assert shared_folder(named) == "s3a://scratch"
+    assert os.path.isdir(shared_folder(Session(spark_master="local[8]")))

@@ -1,9 +1,12 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from celltide.llm import mixing, sharding
+from celltide.llm import bpe, mixing, quality, secrets, sharding
 
 QUERIES = {
     "op2_mix_sources": mixing.query,
+    "op4_secret_scan": secrets.query,
+    "op5_byte_bpe": bpe.query,
+    "op9_quality_rules": quality.query,
     "op10_rendezvous_shards": sharding.query,
 }
 

@@ -1,0 +1,78 @@
+import random
+import re
+
+import pytest
+from cases import SCHEMA, documents, frame, prose
+
+from celltide.llm import quality
+from celltide.sources.workspace import Workspace
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    places = {}
+    for i in range(len(words) - 7):
+        places.setdefault(tuple(words[i : i + 8]), []).append(i)
+    covered = {i + k for found in places.values() if len(found) > 1 for i in found for k in range(8)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def random_texts():
+    r = random.Random(5)
+    for _ in range(150):
+        words = [r.choice("ab é x #| Z9".split(" ")) for _ in range(r.randrange(60))]
+        yield "".join(w + r.choice([" ", "\n", "\t", "  ", "\x0b"]) for w in words)
+    base = prose(9, 60)
+    for k in range(20):
+        yield base[: 20 * k] + " " + base + "\n" + base[7 * k :]
+
+
+def test_base_counts_equal_brute_force(spark):
+    rows = documents() + [(1000 + i, t, "en", "s", 1) for i, t in enumerate(random_texts())]
+    got = quality.statistics(frame(spark, rows)).select("doc_id", "text", *quality.BASE).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r[2:]) == counts(r.text), r
+
+
+def labelled_docs():
+    docs, labels = [], []
+    for i in range(300):
+        clean = prose(i, 80 + i % 50)
+        junk = i % 4 == 0
+        docs.append((i, clean.replace(" ", "### ") if junk else clean, "en", "s", 1))
+        labels.append((i, 0 if junk else 1, 0))
+    return docs, labels
+
+
+def test_learned_list_separates_held_out_rows(spark):
+    docs, labels = labelled_docs()
+    known = spark.createDataFrame(labels[:200] + [(7, None, None), (None, 0, 0), (5000, 0, 0)], "doc_id bigint, quality int, toxic int")
+    rows = quality.judge(frame(spark, docs), known, Workspace(spark)).collect()
+    assert len(rows) == 300
+    held_out = {r.doc_id: r.kept for r in rows if r.doc_id >= 200}
+    assert held_out == {i: i % 4 != 0 for i in range(200, 300)}
+    assert all((r.rule is None) == r.kept for r in rows)
+
+
+def test_edge_cases_have_a_verdict(spark):
+    docs = frame(spark).withColumnsRenamed({"lang": "N_Words", "source": "kept"})
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    rows = quality.judge(docs, labels, Workspace(spark)).collect()
+    assert len(rows) == len(documents())
+    assert all(r.kept == (not r.base_failed) for r in rows)
+    for r in rows:
+        n, *_, repeated = counts(r.text)
+        assert r.base_failed == (n < 20 or 100 * repeated > 30 * n)
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0)]])
+def test_empty_table(spark, labels):
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    assert quality.judge(spark.createDataFrame([], SCHEMA), known, Workspace(spark)).collect() == []

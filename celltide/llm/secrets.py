@@ -109,12 +109,13 @@ class CharModel:
         return self.score(value) >= least
 
 
-def train(samples: DataFrame, **limits: float) -> CharModel:
+def train(samples: DataFrame, backing: float = 20.0, **limits: float) -> CharModel:
     """A model from labelled strings: columns ``value`` and boolean ``random``.
 
-    Equal strings of a class count once; nulls are left out. Counts are
-    smoothed by one, so without samples every ratio is 0 and nothing is
-    random. What comes to the driver is one row per pair of characters of the
+    Equal strings of a class count once; nulls are left out. Counts of pairs
+    are backed by ``backing`` draws from the class's single characters, whose
+    counts are smoothed by one: without samples every ratio is 0 and nothing
+    is random. What comes to the driver is one row per pair of characters of the
     alphabet, however many samples there are.
     """
     size = len(ALPHABET) + 1
@@ -122,11 +123,14 @@ def train(samples: DataFrame, **limits: float) -> CharModel:
     pairs = pairs.select("random", F.explode(_pairs(F.col("value"))).alias("pair"))
     found = pairs.groupBy("pair").agg(F.count_if("random").alias("r"), F.count_if(~F.col("random")).alias("o"))
     counts = {row.pair: (row.r, row.o) for row in found.collect()}
-    ratios = []
-    for previous in range(size + 1):
-        rows = [counts.get(previous * size + c, (0, 0)) for c in range(size)]
-        totals = [sum(r[k] for r in rows) + size for k in (0, 1)]
-        ratios += [math.log((r + 1) / totals[0]) - math.log((o + 1) / totals[1]) for r, o in rows]
+    chances = []
+    for k in (0, 1):
+        after = [[counts.get(p * size + c, (0, 0))[k] for c in range(size)] for p in range(size + 1)]
+        single = [sum(row[c] for row in after) + 1 for c in range(size)]
+        overall = [n / sum(single) for n in single]
+        # a character seldom seen before is followed as characters are overall
+        chances.append([(n + backing * q) / (sum(row) + backing) for row in after for n, q in zip(row, overall, strict=True)])
+    ratios = [math.log(r) - math.log(o) for r, o in zip(*chances, strict=True)]
     return CharModel(tuple(ratios), **limits)
 
 

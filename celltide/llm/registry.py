@@ -1,16 +1,20 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from celltide.llm import bpe, mixing, quality, secrets, sharding
+from celltide.llm import bpe, minhash, mixing, quality, secrets, sharding, threads, urls
 
 QUERIES = {
     "op2_mix_sources": mixing.query,
+    "op3_minhash_near_dups": minhash.query,
     "op4_secret_scan": secrets.query,
     "op5_byte_bpe": bpe.query,
+    "op6_quote_threads": threads.query,
+    "op8_url_filter": urls.query,
     "op9_quality_rules": quality.query,
     "op10_rendezvous_shards": sharding.query,
 }
 
 ORACLES = {
     "op2_mix_sources": mixing.ORACLE,
+    "op3_minhash_near_dups": minhash.ORACLE,
     "op10_rendezvous_shards": sharding.ORACLE,
 }

@@ -1,0 +1,136 @@
+import random
+import re
+
+from celltide.llm import threads
+from pyspark.sql import functions as F
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def quote(text, marker="> "):
+    return "\n".join(marker + line for line in text.split("\n"))
+
+
+MAIL = [
+    (1, 0, "user", "Where is the station?\n\nAlso: when does it open?"),
+    (1, 1, "assistant", "> Where is the station?\n\nBehind the park."),
+    (1, 2, "user", "On Monday Ann wrote:\n> Also:   WHEN does\n> it open\n\nStill unknown to me."),
+    (1, 3, "assistant", "> > Where is the station?\n> Behind the park.\n\nI was wrong."),
+    (1, 4, "user", "Thanks."),
+    (1, 5, "user", "> said by nobody\n\nHm."),
+    (2, 0, "user", "> Where is the station?\nhello"),
+]
+
+
+def by_place(rows):
+    return {(r.conv_id, r.turn): r for r in rows}
+
+
+def test_quotes_link_to_what_they_quote(spark):
+    got = by_place(threads.link(frame(spark, MAIL)).collect())
+    assert {k: (r.parent_turn, r.thread_turn, r.n_quoted, r.n_linked) for k, r in got.items()} == {
+        (1, 0): (None, 0, 0, 0),
+        (1, 1): (0, 0, 1, 1),
+        (1, 2): (0, 2, 1, 1),
+        (1, 3): (1, 0, 2, 2),
+        (1, 4): (3, 0, 0, 0),
+        (1, 5): (4, 0, 1, 0),
+        (2, 0): (None, 0, 1, 0),
+    }
+    assert got[1, 2].body == "Still unknown to me." and got[1, 3].body == "I was wrong." and got[2, 0].body == "hello"
+
+
+def test_rows_come_in_reply_order_and_as_chat(spark):
+    linked = threads.link(frame(spark, MAIL + [MAIL[4]]))
+    assert [(r.conv_id, r.thread_turn, r.turn) for r in linked.collect()] == [
+        (1, 0, 0), (1, 0, 1), (1, 0, 3), (1, 0, 4), (1, 0, 4), (1, 0, 5), (1, 2, 2), (2, 0, 0),
+    ]
+    chats = {(r.conv_id, r.thread_turn, r.part): r.chat for r in threads.conversations(linked, turns_per_row=2).collect()}
+    assert chats[1, 0, 1] == "<|assistant|>\nI was wrong.\n"
+    assert chats[1, 0, 2] == "<|user|>\nThanks.\n<|user|>\nHm.\n"
+
+
+# brute force ------------------------------------------------------------
+
+
+def parsed(text):
+    for line in (text or "").replace("\r", "").split("\n"):
+        marks = re.match(r"(?:[ \t]{0,3}>)*", line).group()
+        yield marks.count(">"), line[len(marks) :]
+
+
+def said(text):
+    found, before = [], None
+    for level, body in parsed(text):
+        blank = not body.strip(" ")
+        if before == (level, False) and not blank:
+            found[-1][1] += " " + body
+        else:
+            found.append([level, body])
+        before = (level, blank)
+    normal = [(level, " ".join(re.findall(r"[^\W_]+", body.lower()))) for level, body in found]
+    return {(level, words) for level, words in normal if words}
+
+
+def expected(rows):
+    by_conv = {}
+    for conv, turn, _, text in rows:
+        by_conv.setdefault(conv, {}).setdefault(turn, set()).update(said(text))
+    out = {}
+    for conv, turns in by_conv.items():
+        children = {}
+        for turn in sorted(turns):
+            quoted = [(level, w) for level, w in turns[turn] if level > 0]
+            sources = {}
+            for level, words in quoted:
+                earlier = [t for t in turns if t < turn and (0, words) in turns[t]]
+                if earlier:
+                    sources.setdefault(level, []).append(max(earlier))
+            parent = max((t for t in turns if t < turn), default=None)
+            if sources:
+                lowest = sources[min(sources)]
+                parent = max(lowest, key=lambda t: (lowest.count(t), t))
+            goes_on = parent is not None and parent not in children
+            if goes_on:
+                children[parent] = turn
+            thread = out[conv, parent][1] if goes_on else turn
+            out[conv, turn] = (parent, thread, len(quoted), sum(map(len, sources.values())))
+    return out
+
+
+def test_links_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(threads, "BLOCK", 3)
+    r = random.Random(8)
+    pool = ["alpha beta", "gamma delta", "one\ntwo three", "x y z!", "Ok.", "long words\nof wisdom"]
+    rows = []
+    for conv in range(25):
+        for turn in range(r.randrange(1, 22)):
+            parts = [r.choice(pool) for _ in range(r.randrange(4))]
+            text = r.choice(["\n", "\n\n"]).join(quote(p, r.choice(["", "> ", ">> ", "> > "])) for p in parts)
+            rows.append((conv, turn, "user", text if r.random() > 0.05 else None))
+            if r.random() < 0.1:
+                rows.append(rows[-1])
+    got = threads.link(frame(spark, rows)).collect()
+    want = expected(rows)
+    assert len(got) == len(rows)
+    for x in got:
+        assert (x.parent_turn, x.thread_turn, x.n_quoted, x.n_linked) == want[x.conv_id, x.turn], (x, want[x.conv_id, x.turn])
+
+
+def test_edge_cases(spark):
+    long = "\n".join(f"> line {i}\n\nanswer {i}" for i in range(5000))
+    rows = [(None, 1, "u", "> a\nb"), (3, None, "u", None), (3, 1, None, ""), (3, 1, None, ""), (3, 2, "u", long), (3, -5, "u", "\x01\x02> q")]
+    df = frame(spark, rows).withColumn("BODY", F.lit(1)).withColumn("hash", F.lit("h"))
+    got = threads.link(df).collect()
+    assert len(got) == len(rows)
+    places = {(x.conv_id, x.turn): x for x in got}
+    assert places[None, 1].thread_turn is None and places[None, 1].body == "b" and places[None, 1].n_quoted == 0
+    assert places[3, None].body == "" and places[3, 1].parent_turn == -5
+    assert places[3, 2].n_quoted == 5000 and places[3, 2].thread_turn == -5
+    assert places[3, 2].body.startswith("answer 0") and ">" not in places[3, 2].body
+    assert threads.link(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert threads.conversations(threads.link(frame(spark, rows))).count() >= 1

@@ -120,6 +120,16 @@ class Codec:
         while part := list(islice(found, _PIECES_AT_ONCE)):
             yield part
 
+    def pre_tokens(self, text: str) -> Iterator[str]:
+        """Pre-tokens one after the other, found as they are asked for."""
+        self._ready()
+        return (m.group() for m in self._regex.finditer(text))
+
+    def count(self, pre_token: str) -> int:
+        """The number of tokens of one pre-token."""
+        self._ready()
+        return len(self._merges[pre_token])
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text; none for a null or empty one."""
         self._ready()

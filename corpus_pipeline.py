@@ -1,28 +1,65 @@
-"""The corpus pipeline: documents through five of the operators, one after the other."""
+"""The corpus pipeline: documents through five of the operators, one after the other.
+
+Each stage works on all that the one before kept, and its decisions take
+effect: rejected documents and near-duplicates go, secrets are masked, sources
+are repeated or thinned to their shares, and the rest is encoded.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from celltide.llm import mixing
+from celltide.llm import bpe, minhash, mixing, quality, secrets
 from celltide.llm.common import table
 from celltide.sources.workspace import Workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rules nor the learned list reject."""
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"), Workspace(spark))
+    return judged.where("kept").select(docs.columns)
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.survivors(docs)
+
+
+def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced and ``n_chars`` counted anew where they were."""
+    found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    clean = secrets.redact(found)
+    if "n_chars" in docs.columns:
+        count = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.when(F.size("spans") > 0, count).otherwise(F.col("n_chars")))
+    return clean.select(docs.columns)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as drawn, so that every source has the same share of bytes."""
     return mixing.mix(docs).select(docs.columns)
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each document's text, with its key and source."""
+    ids = bpe.encode(docs.select("doc_id", "source", "text"), bpe.Codec(bpe.read_ranks()))
+    return ids.select("doc_id", "source", "n_tokens", "ids")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", accepted),
+    ("near_duplicates", different),
+    ("secrets", masked),
     ("mix", mixed),
+    ("encode", encoded),
 ]
 
-#: Learned rules, signatures and tokenizers have no SQL; tests hold the rows against brute force.
+#: Learned rules, signatures and tokenizers have no SQL; a test holds the rows against brute force.
 ORACLE_SQL = None
 
 

@@ -1,0 +1,83 @@
+import math
+from collections import Counter
+
+import pytest
+from cases import SCHEMA, documents, frame
+from pyspark.sql import functions as F
+from test_sharding import unit
+
+from celltide.llm import mixing
+
+
+def copies(key, rate):
+    u, total, n = unit("mix-1", "copies", "null" if key is None else key), 0.0, 0
+    while rate > 0:
+        total += math.exp(n * math.log(rate) - rate - math.lgamma(n + 1))
+        if total > u:
+            return n
+        n += 1
+    return 0
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.01, 1.0, 3.7, 50.0, 2000.0])
+def test_distribution_function(spark, rate):
+    steps = spark.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first().s
+    assert steps == sorted(steps) and steps[-1] == pytest.approx(1)
+    for k in (0, 1, 2, int(rate), int(rate) + 1):
+        if rate and k < len(steps):
+            want = math.fsum(math.exp(i * math.log(rate) - rate - math.lgamma(i + 1)) for i in range(k + 1))
+            assert steps[k] == pytest.approx(want, rel=1e-9, abs=1e-14)
+
+
+def docs(n=600):
+    return [(i, "x" * (10 + i % 13), "en", "abc"[0 if i % 3 else 1 + i % 2], 1) for i in range(n)]
+
+
+def test_copies_equal_brute_force_and_shares_meet_weights(spark):
+    weights = {"a": 1.0, "b": 2.0, "c": 1.0}
+    rows = mixing.mix(frame(spark, docs()), weights, epochs=3.0).collect()
+    size = Counter()
+    for _, text, _, source, _ in docs():
+        size[source] += len(text)
+    total = 3.0 * sum(size.values())
+    rate = {s: total * w / 4 / size[s] for s, w in weights.items()}
+    got = Counter(r.doc_id for r in rows)
+    assert got == Counter({i: n for i, _, _, s, _ in docs() if (n := copies(i, rate[s]))})
+    mixed = Counter()
+    for r in rows:
+        assert 1 <= r.copy <= got[r.doc_id] and r.rate == pytest.approx(rate[r.source])
+        mixed[r.source] += len(r.text)
+    for s, w in weights.items():
+        assert mixed[s] / total == pytest.approx(w / 4, rel=0.15)
+    assert len({(r.doc_id, r.copy) for r in rows}) == len(rows)
+
+
+def test_shuffle_is_global(spark):
+    rows = mixing.mix(frame(spark, docs(3000)), epochs=2.0).withColumn("p", F.spark_partition_id()).collect()
+    order = [r.mix_order for r in rows if r.p == rows[0].p]
+    assert order == sorted(order)
+    first = [r.doc_id for r in rows[: len(rows) // 4]]
+    assert min(first) < 300 and max(first) > 2700
+
+
+def test_many_sources_take_the_salted_lookup(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    whole = sorted(map(str, mixing.mix(frame(spark, docs())).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, mixing.mix(frame(spark, docs())).collect())) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_edge_cases(spark):
+    df = frame(spark).withColumnsRenamed({"lang": "Copy", "n_chars": "_salt"})
+    rows = mixing.mix(df, epochs=5.0).collect()
+    known = {(d, t) for d, t, *_ in documents()}
+    assert rows and all((r.doc_id, r.text) in known for r in rows)
+    assert mixing.mix(spark.createDataFrame([], SCHEMA)).collect() == []
+    only_null = mixing.mix(frame(spark), {None: 1.0}).collect()
+    assert all(r.source is None for r in only_null)
+    assert mixing.mix(frame(spark), {}).collect() == []
+    with pytest.raises(ValueError):
+        mixing.mix(frame(spark), {"a": -1.0})

@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from celltide import schemas
-from celltide.plans.medallion import Lakehouse, Settings, run_range
+from celltide.plans.medallion import Lakehouse, Outcome, Settings, run_range
 from celltide.schemas import Batch
 from celltide.sources import jdbc
 from celltide.streaming.catchup import catch_up
@@ -67,8 +67,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.stage == "catch-up":
         if not args.checkpoint:
             raise SystemExit("--checkpoint is required")
-        catch_up(lake, cells(spark, args, db), args.checkpoint).awaitTermination()
-        return 0
+        outcomes: list[Outcome] = []
+        catch_up(lake, cells(spark, args, db), args.checkpoint, outcomes.append).awaitTermination()
+        return 1 if any(o.blocked for o in outcomes) else 0
     batches = batches_of(args)
     if args.stage == "map":
         if not args.out:
@@ -88,7 +89,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         {"ingest": lake.ingest, "aggregate": lake.aggregate, "publish": lake.publish}[args.stage](
             batches
         )
-    return 0
+    return 1 if args.stage != "ingest" and lake.blocked(batches) else 0
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -20,8 +20,19 @@ from celltide.functions.geo import EARTH_RADIUS_KM
 
 
 class Grid(Protocol):
-    def assign(self, df: DataFrame, lat: str, lng: str, into: str = "h3_index") -> DataFrame:
-        """Add the id of the cell that holds each position; null in, null out."""
+    def assign(
+        self,
+        df: DataFrame,
+        lat: str,
+        lng: str,
+        into: str = "h3_index",
+        centre: tuple[str, str] | None = None,
+    ) -> DataFrame:
+        """Add the id of the cell that holds each position, and its ``centre`` as two doubles.
+
+        Nulls for a position that is null, no number, infinite, or beyond the
+        poles; a longitude may go round the globe more than once.
+        """
 
     def add_centre(self, df: DataFrame, cell: str, lat: str, lng: str) -> DataFrame:
         """Add the centre of each cell as two doubles."""
@@ -46,9 +57,20 @@ class HexGrid:
     def _shrink(self) -> float:
         return math.cos(math.radians(self.parallel_deg))
 
-    def assign(self, df: DataFrame, lat: str, lng: str, into: str = "h3_index") -> DataFrame:
-        x = F.radians(F.col(lng)) * (EARTH_RADIUS_KM * self._shrink)
-        y = F.sin(F.radians(F.col(lat))) * (EARTH_RADIUS_KM / self._shrink)
+    def assign(
+        self,
+        df: DataFrame,
+        lat: str,
+        lng: str,
+        into: str = "h3_index",
+        centre: tuple[str, str] | None = None,
+    ) -> DataFrame:
+        # comparisons with NaN as the larger value are false
+        on_globe = (F.abs(F.col(lat)) <= 90.0) & (F.abs(F.col(lng)) < math.inf)
+        turned = F.pmod(F.col(lng) + 180.0, F.lit(360.0)) - 180.0
+        wrapped = F.when((F.col(lng) >= -180.0) & (F.col(lng) < 180.0), F.col(lng)).otherwise(turned)
+        x = F.radians(F.when(on_globe, wrapped)) * (EARTH_RADIUS_KM * self._shrink)
+        y = F.sin(F.radians(F.when(on_globe, F.col(lat)))) * (EARTH_RADIUS_KM / self._shrink)
         kept = df.columns
         # Layered selects: each value is computed once and reused by the next layer.
         fractional = df.select(
@@ -78,10 +100,16 @@ class HexGrid:
         r_worst = F.col("_dr") > F.col("_ds")
         q = F.when(q_worst, -F.col("_rr") - F.col("_rs")).otherwise(F.col("_rq"))
         r = F.when(~q_worst & r_worst, -F.col("_rq") - F.col("_rs")).otherwise(F.col("_rr"))
-        cell = F.concat_ws("_", F.lit(self.prefix), q.cast("string"), r.cast("string"))
-        known = F.col("_rq").isNotNull() & F.col("_rr").isNotNull()
-        others = [c for c in kept if c != into]
-        return errors.select(*others, F.when(known, cell).alias(into))
+        axial = errors.select(*kept, q.alias("_q"), r.alias("_r"))
+        parts = (F.col("_q").cast("string"), F.col("_r").cast("string"))
+        cell = F.concat_ws("_", F.lit(self.prefix), *parts)
+        known = F.col("_q").isNotNull() & F.col("_r").isNotNull()
+        others = [c for c in kept if c != into and c not in (centre or ())]
+        added = [F.when(known, cell).alias(into)]
+        if centre:  # from the numbers, without reading them back out of the id
+            x, y = self._centre_on_plane()
+            added += [self._lat(y).alias(centre[0]), self._lng(x).alias(centre[1])]
+        return axial.select(*others, *added)
 
     def axial(self, cell: Column) -> tuple[Column, Column]:
         """The (q, r) pair inside an id, as longs; null for a foreign id."""
@@ -91,14 +119,15 @@ class HexGrid:
             F.split_part(ours, F.lit("_"), F.lit(3)).try_cast("bigint"),
         )
 
+    def _centre_on_plane(self) -> tuple[Column, Column]:
+        x = (F.col("_q") + F.col("_r") / 2.0) * (math.sqrt(3.0) * self.edge_km)
+        return x, F.col("_r") * (1.5 * self.edge_km)
+
     def _plane(self, df: DataFrame, cell: str) -> DataFrame:
         q, r = self.axial(F.col(cell))
         axial = df.select("*", q.alias("_q"), r.alias("_r"))
-        return axial.select(
-            *df.columns,
-            ((F.col("_q") + F.col("_r") / 2.0) * (math.sqrt(3.0) * self.edge_km)).alias("_x"),
-            (F.col("_r") * (1.5 * self.edge_km)).alias("_y"),
-        )
+        x, y = self._centre_on_plane()
+        return axial.select(*df.columns, x.alias("_x"), y.alias("_y"))
 
     def _lng(self, x: Column) -> Column:
         return F.degrees(x / (EARTH_RADIUS_KM * self._shrink))

@@ -52,7 +52,14 @@ class H3Grid:
         if not available():
             raise ImportError("H3Grid needs the h3 package, version 4, on driver and executors")
 
-    def assign(self, df: DataFrame, lat: str, lng: str, into: str = "h3_index") -> DataFrame:
+    def assign(
+        self,
+        df: DataFrame,
+        lat: str,
+        lng: str,
+        into: str = "h3_index",
+        centre: tuple[str, str] | None = None,
+    ) -> DataFrame:
         resolution = self.resolution
 
         @F.pandas_udf("string")
@@ -62,7 +69,8 @@ class H3Grid:
             points = points.where((lats.notna() & lngs.notna()).to_numpy(), None)
             return _known(points, lambda p: h3.latlng_to_cell(p[0], p[1], resolution))
 
-        return df.withColumn(into, cell_of(F.col(lat).cast("double"), F.col(lng).cast("double")))
+        cells = df.withColumn(into, cell_of(F.col(lat).cast("double"), F.col(lng).cast("double")))
+        return self.add_centre(cells, into, *centre) if centre else cells
 
     def add_centre(self, df: DataFrame, cell: str, lat: str, lng: str) -> DataFrame:
         @F.pandas_udf("struct<lat double, lng double>")

@@ -13,7 +13,6 @@ from celltide.operators.joins import (
     left_lookup,
     staged_lookup,
     unique_lookup,
-    with_salt,
 )
 from celltide.schemas import BATCH_KEYS
 from celltide.sources.workspace import Workspace
@@ -21,14 +20,14 @@ from celltide.sources.workspace import Workspace
 CENTROID_KEYS = (*BATCH_KEYS, "cell_id")
 
 
-# The cell master's column names, and ours. Its x_ is the latitude.
-SITE_COLUMNS = {"cell_code": "cell_id", "x_": "cell_lat", "y_": "cell_lon"}
-
-
 def cell_sites(cell_info: DataFrame) -> DataFrame:
-    """The cell master under our names."""
-    named = cell_info.select(*SITE_COLUMNS).withColumnsRenamed(SITE_COLUMNS)
-    return typed_positions(named, "cell_lat", "cell_lon")
+    """The cell master under our names. Its ``x_`` is the latitude."""
+    sites = cell_info.select(
+        F.col("cell_code").alias("cell_id"),
+        F.col("x_").alias("cell_lat"),
+        F.col("y_").alias("cell_lon"),
+    )
+    return typed_positions(sites, "cell_lat", "cell_lon")
 
 
 def typed_positions(df: DataFrame, *columns: str) -> DataFrame:
@@ -62,42 +61,37 @@ def cell_centroids(df: DataFrame) -> DataFrame:
     one task: the averages combine before the shuffle. Rows without a cell
     form one group.
     """
-    return df.groupBy(*CENTROID_KEYS).agg(
-        F.avg("lat").alias("est_cell_lat"), F.avg("lng").alias("est_cell_lon")
-    )
-
+    return df.groupBy(*CENTROID_KEYS).agg(*_means())
 
-def _incomplete() -> Column:
-    return F.col("cell_lat").isNull() | F.col("cell_lon").isNull()
 
+def _means() -> tuple[Column, Column]:
+    return F.avg("lat").alias("est_cell_lat"), F.avg("lng").alias("est_cell_lon")
 
-def centroid_lookup(df: DataFrame, sites: Lookup, workspace: Workspace) -> Lookup:
-    """Centroids of the cells whose site the master does not fully know.
 
-    Measurements are aggregated before they meet the master, so neither the
-    size of the master nor a crowded cell matters here. The result is staged:
-    its size decides how it goes back to the rows.
-    """
-    centroids = cell_centroids(df).join(sites.df, "cell_id", "left").filter(_incomplete())
-    columns = (*CENTROID_KEYS, "est_cell_lat", "est_cell_lon")
-    return staged_lookup(centroids.select(*columns), CENTROID_KEYS, workspace, "centroids")
-
-
-def fill_sites(joined: DataFrame, centroids: Lookup) -> DataFrame:
-    """Replace each missing site coordinate by the cell's centroid.
+def cell_positions(df: DataFrame, sites: Lookup, workspace: Workspace) -> Lookup:
+    """Position and source of every cell of every batch that occurs, and its number of rows ``n``.
 
-    All rows of a cell share the master's answer, so a cell is estimated as a
-    whole or not at all. Rows without a cell share one estimate.
+    Each coordinate comes from the master, or else is the mean of the cell's
+    measurements; the source is ``estimated`` if one of the two is. Rows
+    without a cell share one estimate. Measurements are aggregated before they
+    meet the master, so neither the size of the master nor a crowded cell
+    matters here, and they take part in one join only, the one with the result.
     """
-    estimated = left_lookup(joined, centroids, null_safe=True)
-    kept = [c for c in joined.columns if c not in ("cell_lat", "cell_lon")]
-    source = F.when(_incomplete(), F.lit("estimated")).otherwise(F.lit("master"))
-    return estimated.select(
-        *kept,
+    cells = df.groupBy(*CENTROID_KEYS).agg(*_means(), F.count(F.lit(1)).alias("n"))
+    unknown = F.col("cell_lat").isNull() | F.col("cell_lon").isNull()
+    placed = cells.join(sites.df, "cell_id", "left").select(
+        *CENTROID_KEYS,
         F.coalesce("cell_lat", "est_cell_lat").alias("cell_lat"),
         F.coalesce("cell_lon", "est_cell_lon").alias("cell_lon"),
-        source.alias("cell_pos_source"),
+        F.when(unknown, F.lit("estimated")).otherwise(F.lit("master")).alias("cell_pos_source"),
+        "n",
     )
+    return staged_lookup(placed, CENTROID_KEYS, workspace, "positions")
+
+
+def attach_positions(df: DataFrame, positions: Lookup) -> DataFrame:
+    """Every measurement with the position and source of its cell."""
+    return left_lookup(df, positions, null_safe=True, weight="n")
 
 
 def add_distance(df: DataFrame, method: str = "haversine") -> DataFrame:
@@ -107,24 +101,21 @@ def add_distance(df: DataFrame, method: str = "haversine") -> DataFrame:
     return df.withColumn("distance_to_cell_km", formula(*ends))
 
 
-def scatters(df: DataFrame, *sides: Lookup) -> bool:
-    """Whether enriching shuffles the measurements, as some side is too large to broadcast."""
-    limit = broadcast_limit(df)
-    return not all(side.fits(limit) for side in sides)
+def scatters(df: DataFrame, positions: Lookup) -> bool:
+    """Whether enriching shuffles the measurements, as positions are too large to broadcast."""
+    return not positions.fits(broadcast_limit(df))
 
 
 def enrich(
     clean: DataFrame,
-    sites: Lookup,
-    centroids: Lookup,
+    positions: Lookup,
     grid: Grid = HexGrid(),
     method: str = "haversine",
+    centre: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Clean measurements with grid cell, site position and distance.
+    """Clean measurements with site position, distance and grid cell, and its ``centre`` if asked for.
 
     ``clean`` should come from a scan: see ``with_salt``.
     """
-    if scatters(clean, sites, centroids):
-        clean = with_salt(clean)  # once, on the scan, for both lookups
-    filled = fill_sites(attach_sites(clean, sites), centroids).drop("_salt")
-    return grid.assign(add_distance(filled, method), "lat", "lng")
+    placed = add_distance(attach_positions(clean, positions), method)
+    return grid.assign(placed, "lat", "lng", centre=centre)

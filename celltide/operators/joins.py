@@ -19,6 +19,8 @@ from celltide.sources.workspace import Workspace
 # Per row of a hashed relation: pointers, null bits and length words.
 _ROW_OVERHEAD_BYTES = 48
 SALTS = 32
+# A key is hot if it has at least this part of all rows.
+HOT_SHARE = 200
 
 
 class DuplicateKeyError(ValueError):
@@ -94,13 +96,24 @@ def with_salt(df: DataFrame, salts: int = SALTS) -> DataFrame:
     return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
 
 
+def _hot_keys(side: Lookup, weight: str) -> DataFrame:
+    """Keys holding at least one ``HOT_SHARE``-th of all rows: never more than ``HOT_SHARE`` of them."""
+    total = side.df.agg(F.sum(weight)).first()[0] or 0
+    return side.df.where(F.col(weight) * HOT_SHARE >= total).select(*side.keys)
+
+
 def left_lookup(
-    left: DataFrame, side: Lookup, null_safe: bool = False, salts: int = SALTS
+    left: DataFrame,
+    side: Lookup,
+    null_safe: bool = False,
+    salts: int = SALTS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Add the side's other columns to every row of ``left``; no match gives nulls.
 
-    A ``_salt`` that ``left`` already has is used and kept, so that one salt
-    made on the scan serves a chain of lookups.
+    ``weight`` names a column of the side with the number of rows of ``left``
+    that each key has; it is not added. Only keys with a large share of all
+    rows are then salted and copied, instead of all.
     """
     on_side = {k: f"_side_{k}" for k in side.keys}
     right = side.df.withColumnsRenamed(on_side)
@@ -108,11 +121,27 @@ def left_lookup(
         F.col(k).eqNullSafe(F.col(s)) if null_safe else F.col(k) == F.col(s)
         for k, s in on_side.items()
     ]
+    dropped = [*on_side.values(), *([weight] if weight else [])]
     if side.fits(broadcast_limit(left)):
-        return left.join(F.broadcast(right), matches, "left").drop(*on_side.values())
-    salted = left if "_salt" in left.columns else with_salt(left, salts)
+        return left.join(F.broadcast(right), matches, "left").drop(*dropped)
+    salted = with_salt(left, salts)
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    copies = right.withColumn("_side_salt", F.explode(every_salt)).hint("merge")
+    if weight:
+        hot = _hot_keys(side, weight).withColumnsRenamed({k: f"_hot_{k}" for k in side.keys})
+        hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))  # HOT_SHARE rows at most
+        names = [f"_hot_{k}" for k in side.keys]
+        is_hot = F.coalesce("_hot", F.lit(False))
+
+        def marked(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+            same = [F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, names)]
+            return rows.join(hot, same, "left").drop(*names)
+
+        salted = marked(salted, side.keys).withColumn(
+            "_salt", F.when(is_hot, F.col("_salt")).otherwise(F.lit(0))
+        ).drop("_hot")
+        right = marked(right, list(on_side.values()))
+        no_salt = F.array(F.lit(0).cast("bigint"))
+        every_salt = F.when(is_hot, every_salt).otherwise(no_salt)
+    copies = right.withColumn("_side_salt", F.explode(every_salt)).drop("_hot").hint("merge")
     matches.append(F.col("_salt") == F.col("_side_salt"))
-    joined = salted.join(copies, matches, "left").drop("_side_salt", *on_side.values())
-    return joined if "_salt" in left.columns else joined.drop("_salt")
+    return salted.join(copies, matches, "left").drop("_salt", "_side_salt", *dropped)

@@ -98,22 +98,17 @@ class Lakehouse:
         if raw is None:
             return Outcome([], [], list(batches))
         scores = quality.report(raw, domain=s.domain, null_policy=s.null_policy)
-        # one row per requested batch
-        rows = scores.select(*[f.name for f in schemas.REPORT]).collect()
-        quality.log_report(rows)
         self.reports.replace(
-            self.spark.createDataFrame(rows, schemas.REPORT).coalesce(1),
-            batches,
-            keys_from=[(r.date, r.hour) for r in rows],
+            scores.select(*schemas.REPORT.names), batches, rebalance=True
         )
-        counts = [("clean", "clean_count"), ("dirty", "dirty_count")]
         self.checked.replace(
             quality.with_verdict(raw, s.domain, s.null_policy).withColumn(
                 "processed_at", F.current_timestamp()
             ),
             batches,
-            keys_from=[(v, r.date, r.hour) for r in rows for v, n in counts if r[n] > 0],
         )
+        rows = self.reports.scan(batches).collect()  # one per requested batch
+        quality.log_report(rows, s.gate_percent)
         score = {Batch(r.date, r.hour): r.gx_success_rate for r in rows}
         return Outcome(
             passed=[b for b in batches if b in score and score[b] >= s.gate_percent],
@@ -121,46 +116,73 @@ class Lakehouse:
             empty=[b for b in batches if b not in score],
         )
 
+    def blocked(self, batches: Sequence[Batch]) -> list[Batch]:
+        """Those of the batches whose stored score is below the gate."""
+        reports = self.reports.scan_if_present(batches)
+        if reports is None:
+            return []
+        found = quality.gate(reports, self.settings.gate_percent).filter("blocked").collect()
+        below = {(r.date, r.hour) for r in found}  # one row per requested batch
+        return [b for b in batches if (b.date, b.hour) in below]
+
+    def _admitted(self, batches: Sequence[Batch]) -> list[Batch]:
+        """The batches that may go on; what later stages hold of the others is taken out."""
+        blocked = self.blocked(batches)
+        if blocked:
+            self.withdraw(blocked)
+        return [b for b in batches if b not in set(blocked)]
+
+    def withdraw(self, batches: Sequence[Batch]) -> None:
+        """Take blocked hours out of the tables behind the gate, should an earlier run have passed them."""
+        for b in batches:
+            log.error("batch %s is below %.1f%%", b.key, self.settings.gate_percent)
+        self.enriched.remove(batches)
+        self.gold.remove(batches)
+
     def enrich(self, batches: Sequence[Batch], cell_info: DataFrame) -> None:
-        """Clean rows with grid cell, site and distance."""
+        """Clean rows of the hours above the gate, with grid cell, site and distance."""
         s = self.settings
-        if self.checked.scan_if_present() is None:
+        if not self.checked.exists():
+            return
+        batches = self._admitted(batches)
+        if not batches:
             return
         # staged once: a database would be read again by every job below
         sites = en.site_lookup(self.workspace.stage(cell_info, "cell_info"))
         clean = self.clean(batches)
-        centroids = en.centroid_lookup(clean, sites, self.workspace)
-        rows = en.enrich(clean, sites, centroids, s.grid, s.distance)
-        rows = s.grid.add_centre(rows, "h3_index", "h3_center_lat", "h3_center_lon")
-        columns = [f.name for f in schemas.ENRICHED]
+        positions = en.cell_positions(clean, sites, self.workspace)
+        centre = ("h3_center_lat", "h3_center_lon")
+        rows = en.enrich(clean, positions, s.grid, s.distance, centre)
         self.enriched.replace(
-            rows.select(*columns),
-            batches,
-            keys_from=clean,
-            rebalance=en.scatters(clean, sites, centroids),
+            rows.select(*schemas.ENRICHED.names), batches, rebalance=en.scatters(clean, positions)
         )
+        self.workspace.clear()
 
     def aggregate(self, batches: Sequence[Batch]) -> None:
-        """Enriched rows to gold."""
-        enriched = self.enriched.scan_if_present(batches)
-        if enriched is None:
+        """Enriched rows of the hours above the gate to gold."""
+        if not self.enriched.exists():
             return
+        batches = self._admitted(batches)
+        if not batches:
+            return
+        enriched = self.enriched.scan(batches)
         rows = kpi.gold(enriched, self.settings.grid, self.settings.domain)
-        columns = [f.name for f in schemas.GOLD]
-        self.gold.replace(rows.select(*columns), batches, keys_from=enriched, rebalance=True)
+        self.gold.replace(rows.select(*schemas.GOLD.names), batches, rebalance=True)
 
     def publish(self, batches: Sequence[Batch]) -> None:
-        """Gold and audit rows to the serving database."""
+        """Gold and audit rows to the serving database; hours below the gate have no gold rows."""
         s = self.settings
         if s.database is None:
             raise ValueError("no database in the settings")
+        self._admitted(batches)
         gold = self.gold.scan_if_present(batches)
         if gold is not None:
-            rows = serve.spatial_rows(gold, s.grid)
+            rows = serve.spatial_rows(gold.select(*schemas.GOLD.names), s.grid)
             jdbc.replace_batches(rows, s.database, jdbc.SPATIAL_TABLE, batches, s.connections)
         audit = self.reports.scan_if_present(batches)
         if audit is not None:
-            jdbc.replace_batches(audit, s.database, jdbc.AUDIT_TABLE, batches, 1)
+            rows = audit.select(*schemas.AUDIT_COLUMNS)
+            jdbc.replace_batches(rows, s.database, jdbc.AUDIT_TABLE, batches, 1)
 
     def map_day(self, date: str) -> DataFrame | None:
         """The day's map rows from the lake; None before the first gold table."""
@@ -190,17 +212,21 @@ def run_range(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -
 
 
 def run_stored(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -> Outcome:
-    """The stages behind ingest, for batches that are in bronze."""
+    """The stages behind ingest, for batches that are in bronze.
+
+    A blocked hour stops after the quality stage, and leaves the tables behind
+    it if an earlier run had passed it. An hour that has become empty goes on,
+    to be emptied in every table.
+    """
     outcome = lake.check(batches)
-    # an hour that has become empty goes on too, to be emptied in every table
-    onward = [b for b in batches if b not in outcome.blocked]
+    if outcome.blocked:
+        lake.withdraw(outcome.blocked)
+    onward = [b for b in batches if b not in set(outcome.blocked)]
     if onward:
         lake.enrich(onward, cell_info)
         lake.aggregate(onward)
-        if lake.settings.database is not None:
-            lake.publish(onward)
-    for b in outcome.blocked:
-        log.error("batch %s is below %.1f%%", b.key, lake.settings.gate_percent)
+    if lake.settings.database is not None:
+        lake.publish(batches)
     return outcome
 
 

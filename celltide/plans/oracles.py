@@ -190,16 +190,26 @@ _ENDS = _six("cell_lat", "cell_lon", "h3_center_lat", "h3_center_lon")
 _KPIS = "user_density_count, avg_rsrp, p10_rsrp, avg_distance_km, weak_signal_ratio"
 
 _AUDIT = """SELECT date, hour, total_raw_records, CAST(0 AS BIGINT) AS duplicate_count,
-    clean_count, {dirty} AS dirty_count, success_percent AS gx_success_rate,
+    clean_count, {dirty} AS dirty_count, {more} success_percent AS gx_success_rate,
     evaluated AS gx_total_rules, failed AS gx_failed_rules, success AS gx_is_passed
   FROM split JOIN score USING (date, hour)"""
 
+_UNSURE = "undecided_count, CAST(0 AS BIGINT) AS unreadable_count,"
+
 _CLASS = """CASE WHEN avg_rsrp >= -60.0e0 THEN 6 WHEN avg_rsrp >= -76.0e0 THEN 5
     WHEN avg_rsrp >= -92.0e0 THEN 4 WHEN avg_rsrp >= -108.0e0 THEN 3
     WHEN avg_rsrp >= -124.0e0 THEN 2 ELSE 1 END"""
 
 _COLOUR = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(SIGNAL_COLOURS, 1))
 
+# Turned back by whole turns, in the arithmetic that the grid uses.
+_TURNED = "(lng {} + 180.0e0) - 360.0e0 * floor((lng {} + 180.0e0) / 360.0e0) - 180.0e0"
+
+_ODD_POSITIONS = f"""(SELECT * REPLACE (CASE event_id % 97
+      WHEN 6 THEN {_TURNED.format('+ 360.0e0', '+ 360.0e0')}
+      WHEN 7 THEN {_TURNED.format('- 720.0e0', '- 720.0e0')} ELSE lng END AS lng),
+    event_id % 97 AS case_of FROM mdt)"""
+
 # A CSV reader takes an empty text for null, so landed measurements have no empty cell id.
 _EMPTY_CELL, _NO_CELL = "THEN ''", "THEN NULL"
 
@@ -207,7 +217,19 @@ ORACLES: dict[str, str] = {
     "src_csv_landing": _with(
         """SELECT time_ms, p_cell_rsrp, p_cell_rsrq, lat, lng,
            CAST(NULL AS VARCHAR) AS province_name, CAST(NULL AS VARCHAR) AS district_name,
-           date_hour, nullif(cell_id, '') AS cell_id, date, hour FROM mdt""",
+           date_hour, nullif(cell_id, '') AS cell_id, CAST(NULL AS VARCHAR) AS unreadable,
+           date, hour FROM mdt""",
+        "mdt",
+    ),
+    "src_csv_decimals": _with(
+        """SELECT date, hour, count(*) AS n_rows,
+           count(*) FILTER (WHERE long OR short OR odd) AS n_unreadable,
+           count(p_cell_rsrp) FILTER (WHERE NOT odd) AS n_signals,
+           CAST(sum(p_cell_rsrp) FILTER (WHERE NOT odd) AS BIGINT) AS sum_signal,
+           count(nullif(cell_id, '')) FILTER (WHERE long OR NOT short) AS n_cells
+         FROM (SELECT *, event_id % 29 = 5 AS odd, event_id % 31 = 7 AS long,
+             event_id % 37 = 9 AS short FROM mdt)
+         GROUP BY date, hour""",
         "mdt",
     ),
     "src_partition_scan": _with("SELECT * FROM mdt WHERE hour = '09'", "mdt"),
@@ -225,11 +247,11 @@ ORACLES: dict[str, str] = {
            CASE WHEN hour >= '12' THEN weak_signal_ratio END AS weak_signal_ratio FROM gold""",
         "gold",
     ),
-    "jdbc_gold_rows": _with(
+    "publish_gold_rows": _with(
         f"SELECT date, hour, h3_index, cell_id, {_KPIS}, {_ENDS}, {_outline()} FROM mapped",
         "mapped",
     ),
-    "jdbc_audit_rows": _with(_AUDIT.format(dirty="dirty_count"), "split", "score"),
+    "publish_audit_rows": _with(_AUDIT.format(dirty="dirty_count", more=""), "split", "score"),
     "prj_batch_columns": _with(
         f"SELECT event_id, date_hour, '{DATE}' AS date, '09' AS hour FROM mdt", "mdt"
     ),
@@ -258,7 +280,7 @@ ORACLES: dict[str, str] = {
     "dq_quarantine_drop": _with(f"SELECT * FROM mdt WHERE NOT ({_CONDITION})", "mdt"),
     "dq_null_dropped": _with("SELECT date, hour, undecided_count FROM split", "split"),
     "dq_report": _with(
-        _AUDIT.format(dirty="dirty_count - undecided_count"), "split", "score"
+        _AUDIT.format(dirty="dirty_count - undecided_count", more=_UNSURE), "split", "score"
     ),
     "dq_gate": _with(
         """SELECT date, hour, success_percent AS success_rate,
@@ -266,7 +288,11 @@ ORACLES: dict[str, str] = {
         "score",
     ),
     "dq_generic_orders": _violations("orders", "o_orderstatus", _ORDER_RULES),
-    "geo_hex_bin": _with(f"SELECT event_id, h3_index FROM ({_hexes('mdt')})", "mdt"),
+    "geo_hex_bin": _with(
+        f"""SELECT event_id, CASE WHEN case_of NOT BETWEEN 1 AND 5 THEN h3_index END AS h3_index
+           FROM ({_hexes(_ODD_POSITIONS)})""",
+        "mdt",
+    ),
     "geo_hex_center": _with(
         f"""SELECT h3_index, {_nudged(_lat(_Y), 7)} AS h3_center_lat,
            {_nudged(_lng(_X), 7)} AS h3_center_lon FROM cells""",
@@ -303,6 +329,19 @@ ORACLES: dict[str, str] = {
         f"SELECT event_id, cell_id, {_six('cell_lat', 'cell_lon')}, cell_pos_source FROM filled",
         "filled",
     ),
+    "enr_fill_site_large": _with(
+        f"SELECT event_id, cell_id, {_six('cell_lat', 'cell_lon')}, cell_pos_source FROM filled",
+        "filled",
+    ),
+    "enr_fill_site_skewed": _with(
+        f"SELECT event_id, cell_id, {_six('cell_lat', 'cell_lon')}, cell_pos_source FROM filled",
+        "filled",
+    ).replace(
+        "sited AS (SELECT clean.*, x_",
+        """crowded AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 'c30' ELSE cell_id END
+          AS cell_id) FROM clean),
+sited AS (SELECT clean.*, x_""",
+    ).replace("FROM clean LEFT JOIN cell_info", "FROM crowded AS clean LEFT JOIN cell_info"),
     "gold_kpi": _with(f"SELECT date, hour, h3_index, cell_id, {_KPIS} FROM gold", "gold"),
     "gold_kpi_coords": _with(
         f"SELECT date, hour, h3_index, cell_id, {_KPIS}, {_ENDS} FROM mapped", "mapped"
@@ -343,7 +382,7 @@ ORACLES: dict[str, str] = {
         "mapped",
     ),
     "serve_audit_day": _with(
-        _AUDIT.format(dirty="dirty_count") + f" WHERE date = '{DATE}' ORDER BY hour",
+        _AUDIT.format(dirty="dirty_count", more=_UNSURE) + f" WHERE date = '{DATE}' ORDER BY hour",
         "split",
         "score",
     ),
@@ -361,3 +400,5 @@ ORACLES: dict[str, str] = {
         "gold",
     ).replace(_EMPTY_CELL, _NO_CELL),
 }
+
+ORACLES["ops_stagewise_counts"] = ORACLES["ops_backfill_counts"]

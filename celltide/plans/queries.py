@@ -36,19 +36,19 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.accepted(measurements(spark, sf_dir))
 
 
-def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Lookup, Lookup]:
-    clean = _clean(spark, sf_dir)
+def _positions(spark: SparkSession, sf_dir: str, clean: DataFrame) -> Lookup:
     sites = en.site_lookup(cell_info(spark, sf_dir))
-    return clean, sites, en.centroid_lookup(clean, sites, Workspace(spark))
+    return en.cell_positions(clean, sites, Workspace(spark))
 
 
 def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean, sites, centroids = _sides(spark, sf_dir)
-    return en.fill_sites(en.attach_sites(clean, sites), centroids)
+    clean = _clean(spark, sf_dir)
+    return en.attach_positions(clean, _positions(spark, sf_dir, clean))
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return en.enrich(*_sides(spark, sf_dir))
+    clean = _clean(spark, sf_dir)
+    return en.enrich(clean, _positions(spark, sf_dir, clean))
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +92,39 @@ def src_csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_landing(spark, folder, DAY, name)
 
 
+@registered
+def src_csv_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files whose signal is written -97.0, with rows too long, too short, or with a fraction."""
+    rows = measurements(spark, sf_dir)
+    names = [f.name for f in schemas.LANDING]
+    signal = F.when(F.col("event_id") % 29 == 5, F.lit("-97.5")).otherwise(
+        F.concat(F.col("p_cell_rsrp").cast("string"), F.lit(".0"))
+    )
+    texts = {n: F.col(n).cast("string") if n in rows.columns else F.lit("") for n in names}
+    texts["p_cell_rsrp"] = signal
+    fields = [F.coalesce(texts[n], F.lit("")) for n in names]
+    line = (
+        F.when(F.col("event_id") % 31 == 7, F.concat_ws(",", *fields, F.lit("surplus")))
+        .when(F.col("event_id") % 37 == 9, F.concat_ws(",", *fields[:5]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    folder = Workspace(spark).path("landing")
+    lines = rows.select(line.alias("value"), F.concat_ws("-", "date", "hour").alias("slot"))
+    head = spark.createDataFrame([(",".join(names), b.key) for b in DAY], "value string, slot string")
+    # one file per hour, its header first
+    whole = head.withColumn("first", F.lit(True)).unionByName(lines.withColumn("first", F.lit(False)))
+    ordered = whole.repartition("slot").sortWithinPartitions("slot", F.col("first").desc())
+    ordered.drop("first").write.partitionBy("slot").text(folder)
+    landed = landing.read_landing(spark, folder, DAY, "slot={date}-{hour}")
+    return landed.groupBy(*schemas.BATCH_KEYS).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("unreadable").alias("n_unreadable"),
+        F.count("p_cell_rsrp").alias("n_signals"),
+        F.sum("p_cell_rsrp").alias("sum_signal"),
+        F.count("cell_id").alias("n_cells"),
+    )
+
+
 def _measurement_table(spark: SparkSession, sf_dir: str) -> tuple[LakeTable, DataFrame]:
     rows = measurements(spark, sf_dir)
     table = LakeTable(spark, Workspace(spark).path("mdt"), rows.schema)
@@ -125,19 +158,22 @@ def snk_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ["h3_index", "cell_id", "user_density_count", *schemas.BATCH_KEYS]
     before = gold.select(*kept)
     table = LakeTable(spark, workspace.path("evolving"), before.schema)
-    table.replace(before, DAY[:12])
-    table.replace(gold.select("weak_signal_ratio", *kept), DAY[12:])
-    return table.scan_merged()
+    table.replace(before.filter("hour < '12'"), DAY[:12])
+    table.replace(gold.filter("hour >= '12'").select("weak_signal_ratio", *kept), DAY[12:])
+    return table.scan()
 
 
 @registered
-def jdbc_gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def publish_gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_ends(serve.spatial_rows(_gold(spark, sf_dir)))
 
 
 @registered
-def jdbc_audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.report(measurements(spark, sf_dir)).drop("created_at")
+def publish_audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the audit table is given: its own columns, of hours whose report is stored."""
+    stored = LakeTable(spark, Workspace(spark).path("reports"), schemas.REPORT)
+    stored.replace(quality.report(measurements(spark, sf_dir)), DAY)
+    return stored.scan(DAY).select(*schemas.AUDIT_COLUMNS).drop("created_at")
 
 
 # --- projections and filters -------------------------------------------------
@@ -242,7 +278,13 @@ def dq_generic_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def geo_hex_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    binned = HexGrid().assign(measurements(spark, sf_dir), "lat", "lng")
+    """Measured positions, some of them no number, infinite, beyond a pole or once more round the globe."""
+    case = F.col("event_id") % 97
+    lat = F.when(case == 1, float("nan")).when(case == 2, 91.0).when(case == 3, float("-inf"))
+    lng = F.when(case == 4, float("nan")).when(case == 5, float("inf"))
+    lng = lng.when(case == 6, F.col("lng") + 360.0).when(case == 7, F.col("lng") - 720.0)
+    odd = {"lat": lat.otherwise(F.col("lat")), "lng": lng.otherwise(F.col("lng"))}
+    binned = HexGrid().assign(measurements(spark, sf_dir).withColumns(odd), "lat", "lng")
     return binned.select("event_id", "h3_index")
 
 
@@ -296,13 +338,44 @@ def enr_cell_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(centroids, 6, "est_cell_lat", "est_cell_lon")
 
 
-@registered
-def enr_fill_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = _filled(spark, sf_dir)
+def _sited(filled: DataFrame) -> DataFrame:
     sites = filled.select("event_id", "cell_id", "cell_lat", "cell_lon", "cell_pos_source")
     return _rounded(sites, 6, "cell_lat", "cell_lon")
 
 
+@registered
+def enr_fill_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sited(_filled(spark, sf_dir))
+
+
+def _without_broadcast(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """A frame planned as if its lookups were too large to broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        return build()
+    finally:
+        spark.conf.set(name, before)
+
+
+@registered
+def enr_fill_site_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _without_broadcast(spark, lambda: _sited(_filled(spark, sf_dir)))
+
+
+@registered
+def enr_fill_site_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all measurements in one cell, and lookups that are not broadcast."""
+    crowded = F.when(F.col("event_id") % 3 == 0, F.lit("c30")).otherwise(F.col("cell_id"))
+    clean = _clean(spark, sf_dir).withColumn("cell_id", crowded)
+
+    def build() -> DataFrame:
+        return _sited(en.attach_positions(clean, _positions(spark, sf_dir, clean)))
+
+    return _without_broadcast(spark, build)
+
+
 # --- indicators --------------------------------------------------------------
 
 
@@ -364,25 +437,38 @@ def serve_audit_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.drop("created_at")
 
 
-@registered
-def ops_backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing files to gold for 24 hours, then what every hour came to."""
+def _landed_lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
     workspace = Workspace(spark)
     folder, name = _land(spark, sf_dir, workspace)
-    lake = Lakehouse(
-        spark, Settings(landing=folder, lake=workspace.path("lake"), file_name=name)
-    )
-    run_range(lake, DAY, cell_info(spark, sf_dir))
-    groups = lake.gold.scan().groupBy(*schemas.BATCH_KEYS).agg(
+    return Lakehouse(spark, Settings(landing=folder, lake=workspace.path("lake"), file_name=name))
+
+
+def _hours_came_to(lake: Lakehouse) -> DataFrame:
+    keys = list(schemas.BATCH_KEYS)
+    groups = lake.gold.scan().groupBy(*keys).agg(
         F.count(F.lit(1)).alias("gold_rows"),
         F.sum("user_density_count").alias("gold_samples"),
     )
-    batches = quality.gate(lake.reports.scan()).join(
-        lake.reports.scan().select(
-            *schemas.BATCH_KEYS, "total_raw_records", "clean_count", "dirty_count"
-        ),
-        list(schemas.BATCH_KEYS),
-    )
-    return batches.join(groups, list(schemas.BATCH_KEYS), "left").fillna(
-        0, ["gold_rows", "gold_samples"]
-    )
+    reports = lake.reports.scan()
+    counts = reports.select(*keys, "total_raw_records", "clean_count", "dirty_count")
+    batches = quality.gate(reports).join(counts, keys)
+    return batches.join(groups, keys, "left").fillna(0, ["gold_rows", "gold_samples"])
+
+
+@registered
+def ops_backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files to gold for 24 hours, then what every hour came to."""
+    lake = _landed_lake(spark, sf_dir)
+    run_range(lake, DAY, cell_info(spark, sf_dir))
+    return _hours_came_to(lake)
+
+
+@registered
+def ops_stagewise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stage by stage, as an outside scheduler would: the gate holds in each."""
+    lake = _landed_lake(spark, sf_dir)
+    lake.ingest(DAY)
+    lake.check(DAY)
+    lake.enrich(DAY, cell_info(spark, sf_dir))
+    lake.aggregate(DAY)
+    return _hours_came_to(lake)

@@ -42,6 +42,8 @@ class Batch:
     @classmethod
     def range(cls, first: Batch, last: Batch) -> list[Batch]:
         """Every hour from ``first`` to ``last``, both included."""
+        if last < first:
+            raise ValueError(f"the range ends before it begins: {first.key}, {last.key}")
         start = datetime.strptime(first.key, "%Y-%m-%d-%H")
         hours = int((datetime.strptime(last.key, "%Y-%m-%d-%H") - start) / timedelta(hours=1))
         stamps = (start + timedelta(hours=i) for i in range(hours + 1))
@@ -133,18 +135,28 @@ LANDING = table_schema(
 
 BATCH = table_schema("date string, hour string")
 
-RAW = table_schema(LANDING, BATCH)
+# unreadable holds what did not fit the landing schema: the raw line, or a value that is no whole number
+RAW = table_schema(LANDING, "unreadable string", BATCH)
 
 # verdict tells accepted rows ("clean") from quarantined ones ("dirty")
-CHECKED = table_schema(LANDING, "processed_at timestamp, verdict string", BATCH)
+CHECKED = table_schema(
+    LANDING, "unreadable string, processed_at timestamp, verdict string", BATCH
+)
 
 REPORT = table_schema(
     "total_raw_records bigint, duplicate_count bigint, clean_count bigint, dirty_count bigint,"
+    "undecided_count bigint, unreadable_count bigint,"
     "gx_success_rate double, gx_total_rules bigint, gx_failed_rules bigint, gx_is_passed boolean,"
     "created_at timestamp",
     BATCH,
 )
 
+# what the serving database's audit table has of it
+AUDIT_COLUMNS = (
+    "total_raw_records", "duplicate_count", "clean_count", "dirty_count", "gx_success_rate",
+    "gx_total_rules", "gx_failed_rules", "gx_is_passed", "created_at", *BATCH_KEYS,
+)
+
 CELL_INFO = table_schema("cell_code string, x_ double, y_ double")
 
 ENRICHED = table_schema(

@@ -20,18 +20,30 @@ _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?")
 
 @dataclass(frozen=True)
 class Database:
-    """A connection. ``extra`` takes any further option of Spark's JDBC source."""
+    """A connection.
+
+    ``properties`` go to the database's driver (TLS and the like), on Spark's
+    connections and on the one that swaps the batches alike. ``extra`` takes
+    any further option of Spark's JDBC source.
+    """
 
     url: str
     user: str | None = None
     password: str | None = field(default=None, repr=False)
     driver: str | None = None
+    properties: dict[str, str] = field(default_factory=dict, repr=False)
     extra: dict[str, str] = field(default_factory=dict, repr=False)
 
     def options(self, table: str) -> dict[str, str]:
         named = {"url": self.url, "user": self.user, "password": self.password}
         named |= {"driver": self.driver, "dbtable": _checked(table)}
-        return {**{k: v for k, v in named.items() if v is not None}, **self.extra}
+        known = {k: v for k, v in named.items() if v is not None}
+        return {**known, **self.properties, **self.extra}
+
+    def login(self) -> dict[str, str]:
+        """What the driver is given: user, password and the connection's properties."""
+        named = {"user": self.user, "password": self.password}
+        return {**{k: v for k, v in named.items() if v is not None}, **self.properties}
 
 
 def _checked(table: str) -> str:
@@ -103,10 +115,8 @@ def replace_batches(
 def _connect(spark: SparkSession, db: Database):
     jvm = spark.sparkContext._jvm
     login = jvm.java.util.Properties()
-    for key in ("user", "password"):
-        value = getattr(db, key)
-        if value is not None:
-            login.setProperty(key, value)
+    for key, value in db.login().items():
+        login.setProperty(key, value)
     return jvm.java.sql.DriverManager.getConnection(db.url, login)
 
 

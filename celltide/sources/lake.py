@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from celltide.schemas import BATCH_KEYS, Batch, in_batches, in_batches_sql
+from celltide.schemas import BATCH_KEYS, Batch, batch_key, in_batches, in_batches_sql
 from celltide.sources.workspace import hadoop_path
 
 log = logging.getLogger(__name__)
@@ -26,7 +26,8 @@ class LakeTable:
     """A table at a path, with a declared schema.
 
     Declaring it keeps ``hour`` the text ``'09'`` (partition inference would
-    make it a number) and saves a pass over the files. ``leading`` names
+    make it a number) and saves a pass over the files. Columns that writes add
+    are kept in a file beside the data and read by every later scan. ``leading`` names
     partition columns above date and hour. The format is ``parquet``, or
     ``delta`` in a session that has it.
     """
@@ -47,6 +48,23 @@ class LakeTable:
     def partitions(self) -> tuple[str, ...]:
         return (*self.leading, *BATCH_KEYS)
 
+    def exists(self) -> bool:
+        fs, path = hadoop_path(self.spark, self.root)
+        return fs.exists(path)
+
+    def stored_schema(self) -> T.StructType:
+        """The declared columns, and those that writes have added since."""
+        fs, path = hadoop_path(self.spark, self._schema_file)
+        if not fs.exists(path):
+            return self.schema
+        stream = fs.open(path)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        stored = T.StructType.fromJson(json.loads(text))
+        return T.StructType([*self.schema, *[f for f in stored if f.name not in self.schema.names]])
+
     def scan(self, batches: Iterable[Batch] | None = None) -> DataFrame:
         """The table, or some of its batches.
 
@@ -57,54 +75,41 @@ class LakeTable:
         if self.fmt == "delta":
             table = self.spark.read.format("delta").load(self.root)
             return table if batches is None else table.filter(in_batches(batches))
-        reader = self.spark.read.schema(self.schema)
+        schema = self.stored_schema()
+        reader = self.spark.read.schema(schema)
         if batches is None:
             return reader.parquet(self.root)
         batches = list(batches)
-        leaves = [self._leaf(values) for values in sorted(self._existing(batches))]
+        leaves = [self._leaf(values) for values in sorted(self._files(batches))]
         if leaves:
             table = reader.option("basePath", self.root).parquet(*leaves)
             return table.filter(in_batches(batches))
-        return reader.parquet(self.root).filter(F.lit(False))
+        if self.exists():
+            ordered = [f for f in schema if f.name not in self.partitions]
+            keys = [f for f in schema if f.name in self.partitions]
+            return self.spark.createDataFrame([], T.StructType([*ordered, *keys]))
+        return reader.parquet(self.root)  # fails as reading any missing table does
 
     def scan_if_present(self, batches: Iterable[Batch] | None = None) -> DataFrame | None:
         """None for a table that was never written; any other failure is raised."""
-        try:
-            return self.scan(batches)
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not self.exists():
             log.warning("no table at %s", self.root)
             return None
+        return self.scan(batches)
 
-    def scan_merged(self) -> DataFrame:
-        """The table with every column any of its files has, beyond the declared ones.
-
-        Looks at the footer of each file; ``scan`` does not.
-        """
-        if self.fmt == "delta":
-            return self.scan()
-        found = self.spark.read.option("mergeSchema", "true").parquet(self.root).schema
-        named = {f.name for f in self.schema}
-        added = [f for f in found if f.name not in named and f.name not in self.partitions]
-        return self.spark.read.schema(T.StructType([*self.schema, *added])).parquet(self.root)
-
-    def replace(
-        self,
-        df: DataFrame,
-        batches: Sequence[Batch],
-        keys_from: DataFrame | Iterable[Sequence[str]] | None = None,
-        rebalance: bool = False,
-    ) -> None:
+    def replace(self, df: DataFrame, batches: Sequence[Batch], rebalance: bool = False) -> None:
         """Make ``batches`` hold exactly the rows of ``df``; other hours stay.
 
-        Running it again gives the same table. A requested batch without rows is
-        emptied, not left as it was; which ones have rows is read from
-        ``keys_from``, where the caller has a cheaper frame with the same
-        partition values as ``df``, or knows the list. ``rebalance`` groups rows by batch first, for results of a shuffle whose
+        Running it again gives the same table. A row outside ``batches`` is an
+        error. A requested batch without rows is emptied, not left as it was:
+        files that were there before the write and still are after it are no
+        longer wanted. Columns that the table lacks are added to its stored
+        schema; a changed type is refused before anything is written.
+        ``rebalance`` groups rows by batch first, for results of a shuffle whose
         every task would else write a file into every hour.
         """
-        rows = df.filter(in_batches(batches))
+        stray = F.raise_error(F.concat(F.lit("row outside the batches to replace: "), batch_key()))
+        rows = df.filter(F.when(in_batches(batches), F.lit(True)).otherwise(stray.cast("boolean")))
         if rebalance:
             rows = rows.hint("rebalance", *self.partitions)
         if self.fmt == "delta":
@@ -117,38 +122,68 @@ class LakeTable:
                 .save(self.root)
             )
             return
-        before = self._existing(batches)
-        filled = self._filled(df if keys_from is None else keys_from, batches) if before else set()
+        self._evolve(df.schema)
+        before = self._files(batches)
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*self.partitions)
             .parquet(self.root)
         )
-        for stale in before - filled:
-            fs, path = hadoop_path(self.spark, self._leaf(stale))
-            fs.delete(path, True)
+        after = self._files(batches) if before else {}
+        for values, names in before.items():
+            if names & after.get(values, set()):
+                self._delete(values)
 
-    def _filled(self, keys, batches: Sequence[Batch]) -> set[tuple[str, ...]]:
-        if isinstance(keys, DataFrame):
-            # at most one row per partition asked for
-            keys = keys.filter(in_batches(batches)).select(*self.partitions).distinct().collect()
-        return {tuple(k) for k in keys}
+    def remove(self, batches: Sequence[Batch]) -> None:
+        """Empty some batches; a table that was never written stays so."""
+        if self.fmt == "delta":
+            if self.exists():
+                self.replace(self.scan(batches).limit(0), batches)
+            return
+        for values in self._files(batches):
+            self._delete(values)
+
+    def _delete(self, values: Sequence[str]) -> None:
+        fs, path = hadoop_path(self.spark, self._leaf(values))
+        fs.delete(path, True)
+
+    @property
+    def _schema_file(self) -> str:
+        return f"{self.root.rstrip('/')}/_schema.json"  # readers pass over names with an underscore
+
+    def _evolve(self, written: T.StructType) -> None:
+        """Keep the columns of a write beside the table, where they are new."""
+        stored = self.stored_schema()
+        known = {f.name: f for f in stored}
+        for f in written:
+            if f.name in known and known[f.name].dataType != f.dataType:
+                was, now = known[f.name].dataType.simpleString(), f.dataType.simpleString()
+                raise ValueError(f"column {f.name} of {self.root} is {was} and would become {now}")
+        added = [T.StructField(f.name, f.dataType) for f in written if f.name not in known]
+        if not added:
+            return
+        fs, path = hadoop_path(self.spark, self._schema_file)
+        stream = fs.create(path, True)
+        try:
+            stream.write(bytearray(T.StructType([*stored, *added]).json().encode()))
+        finally:
+            stream.close()
 
     def _leaf(self, values: Sequence[str]) -> str:
         named = (f"{k}={v}" for k, v in zip(self.partitions, values))
         return "/".join([self.root.rstrip("/"), *named])
 
-    def _existing(self, batches: Sequence[Batch]) -> set[tuple[str, ...]]:
-        """Partitions on disk among the requested ones: one listing per day."""
+    def _files(self, batches: Sequence[Batch]) -> dict[tuple[str, ...], set[str]]:
+        """File names by partition on disk, among the requested ones: one listing per day."""
         wanted = {(b.date, b.hour) for b in batches}
-        found = set()
+        found: dict[tuple[str, ...], set[str]] = {}
         upper = "/*" * len(self.leading)
         for date in sorted({b.date for b in batches}):
-            fs, pattern = hadoop_path(self.spark, f"{self.root}{upper}/date={date}/hour=*")
+            fs, pattern = hadoop_path(self.spark, f"{self.root}{upper}/date={date}/hour=*/*")
             for status in fs.globStatus(pattern) or []:
-                parts = status.getPath().toString().split("/")[-len(self.partitions) :]
-                values = tuple(p.split("=", 1)[1] for p in parts)
+                *_, name = parts = status.getPath().toString().split("/")
+                values = tuple(p.split("=", 1)[1] for p in parts[-len(self.partitions) - 1 : -1])
                 if values[-2:] in wanted:
-                    found.add(values)
+                    found.setdefault(values, set()).add(name)
         return found

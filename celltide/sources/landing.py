@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from celltide.schemas import LANDING, Batch
 from celltide.sources.workspace import hadoop_path
@@ -15,8 +16,44 @@ from celltide.sources.workspace import hadoop_path
 FILE_NAME = "mdt_records_{date}-{hour}.csv"
 
 # Header names are compared with the schema, so a reordered file is an error
-# instead of a silent mix-up; a malformed or empty value reads as null.
-CSV_OPTIONS = {"header": True, "enforceSchema": False, "mode": "PERMISSIVE"}
+# instead of a silent mix-up; a malformed or empty value reads as null, and the
+# line of a malformed row, or of one with too few or too many fields, is kept.
+CSV_OPTIONS = {
+    "header": True,
+    "enforceSchema": False,
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "unreadable",
+    # else a query of some columns would not see that a row has too few or too many
+    "columnPruning": False,
+}
+
+# Whole numbers are read as decimals first: exports of nullable integers write -97.0.
+CSV_SCHEMA = T.StructType(
+    [
+        T.StructField(f.name, T.DoubleType()) if f.dataType == T.IntegerType() else f
+        for f in LANDING
+    ]
+    + [T.StructField("unreadable", T.StringType())]
+)
+
+
+def whole_numbers(rows: DataFrame) -> DataFrame:
+    """Rows of ``CSV_SCHEMA`` with the landing types: ``-97.0`` is -97.
+
+    A number with a fraction, or beyond the type, becomes null and is told in
+    ``unreadable``.
+    """
+    typed, odd = [], F.col("unreadable")
+    for field in LANDING:
+        value = F.col(field.name)
+        if field.dataType == T.IntegerType():
+            whole = F.when(value == F.floor(value), value.try_cast("int"))
+            told = F.concat(F.lit(f"{field.name}="), value.cast("string"))
+            odd = F.coalesce(odd, F.when(value.isNotNull() & whole.isNull(), told))
+            value = whole.alias(field.name)
+        typed.append(value)
+    added = [c for c in rows.columns if c not in CSV_SCHEMA.names]
+    return rows.select(*typed, odd.alias("unreadable"), *added)
 
 
 def with_batch(df: DataFrame, batch: Batch) -> DataFrame:
@@ -65,8 +102,8 @@ def read_landing(
     The schema is declared: inference would read the files twice and let one
     odd hour change a column's type.
     """
-    reader = spark.read.schema(LANDING).options(**CSV_OPTIONS)
+    reader = spark.read.schema(CSV_SCHEMA).options(**CSV_OPTIONS)
     paths = [f"{folder}/{name.format(date=b.date, hour=b.hour)}" for b in batches]
     if len(batches) == 1:
-        return with_batch(reader.csv(paths), batches[0])
-    return reader.csv(paths).select("*", *batch_of_file(name))
+        return with_batch(whole_numbers(reader.csv(paths)), batches[0])
+    return whole_numbers(reader.csv(paths).select("*", *batch_of_file(name)))

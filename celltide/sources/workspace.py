@@ -39,6 +39,12 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def clear(self) -> None:
+        """Drop what has been staged, once nothing will read it again."""
+        fs, path = hadoop_path(self.spark, self.root)
+        for status in fs.listStatus(path):
+            fs.delete(status.getPath(), True)
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write a frame once and read it back.
 

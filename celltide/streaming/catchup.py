@@ -7,23 +7,36 @@ replaces whole hours, so a trigger that is run again changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from celltide.plans.medallion import Lakehouse, run_stored
-from celltide.schemas import LANDING, Batch
-from celltide.sources.landing import CSV_OPTIONS, batch_of_file, file_pattern
-
-
-def catch_up(lake: Lakehouse, cell_info: DataFrame, checkpoint: str) -> StreamingQuery:
-    """Process every landing file not seen before, then stop.
+from celltide.plans.medallion import Lakehouse, Outcome, run_stored
+from celltide.schemas import Batch
+from celltide.sources.landing import (
+    CSV_OPTIONS,
+    CSV_SCHEMA,
+    batch_of_file,
+    file_pattern,
+    whole_numbers,
+)
+
+
+def catch_up(
+    lake: Lakehouse,
+    cell_info: DataFrame,
+    checkpoint: str,
+    told: Callable[[Outcome], None] = lambda outcome: None,
+) -> StreamingQuery:
+    """Process every landing file not seen before, then stop; ``told`` gets each trigger's outcome.
 
     One file must hold a whole hour. A file is known by its path: deliver a
     correction by running its hour through ``run_batch``.
     """
     name = lake.settings.file_name
     rows = (
-        lake.spark.readStream.schema(LANDING)
+        lake.spark.readStream.schema(CSV_SCHEMA)
         .options(**CSV_OPTIONS)
         .csv(f"{lake.settings.landing}/{file_pattern(name)}")
         .select("*", *batch_of_file(name))
@@ -34,8 +47,8 @@ def catch_up(lake: Lakehouse, cell_info: DataFrame, checkpoint: str) -> Streamin
         hours = arrived.select("date", "hour").distinct().collect()
         batches = sorted(Batch(h.date, h.hour) for h in hours)
         if batches:
-            lake.store_raw(arrived, batches)
-            run_stored(lake, batches, cell_info)
+            lake.store_raw(whole_numbers(arrived), batches)
+            told(run_stored(lake, batches, cell_info))
 
     return (
         rows.writeStream.foreachBatch(run)

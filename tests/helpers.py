@@ -16,6 +16,7 @@ GOOD = {
     "district_name": "d",
     "date_hour": "2026-05-05-09",
     "cell_id": "a",
+    "unreadable": None,
     "date": "2026-05-05",
     "hour": "09",
 }

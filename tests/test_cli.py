@@ -19,6 +19,8 @@ def test_hours_of_a_command(tmp_path):
     assert len(cli.batches_of(_args(tmp_path, "all", "--until", "2026-05-06-00"))) == 25
     with pytest.raises(ValueError):
         cli.batches_of(_args(tmp_path, "all", "--hour", "9"))
+    with pytest.raises(ValueError, match="ends before"):
+        cli.batches_of(_args(tmp_path, "all", "--until", "2026-05-04-23"))
 
 
 def test_stages_one_by_one(spark, tmp_path):
@@ -41,6 +43,11 @@ def test_a_blocked_hour_fails_the_command(spark, tmp_path):
     args = _args(tmp_path, "check", "--hour", "09")
     cli.run(spark, _args(tmp_path, "ingest", "--hour", "09"))
     assert cli.run(spark, args) == 1
+    spark.createDataFrame([("a", 21.5, 105.8)], schemas.CELL_INFO).write.parquet(str(tmp_path / "cells"))
+    more = ["--hour", "09", "--cells", str(tmp_path / "cells"), "--checkpoint", str(tmp_path / "progress")]
+    for stage in ("enrich", "aggregate", "catch-up"):
+        assert cli.run(spark, _args(tmp_path, stage, *more)) == 1
+    assert not (tmp_path / "lake" / "gold").exists()
 
 
 def test_a_master_must_be_named(spark, tmp_path):

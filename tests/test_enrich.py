@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from celltide import schemas
 from celltide.operators import enrich as en
-from celltide.operators import kpi
+from celltide.operators import joins, kpi
 from celltide.operators.joins import DuplicateKeyError
 
 MASTER = [("a", 21.5, 105.8), ("half", 21.6, None), ("unused", 1.0, 2.0)]
@@ -27,7 +27,7 @@ def cell_info(spark):
 
 
 def _enrich(df, sites, workspace, **options):
-    return en.enrich(df, sites, en.centroid_lookup(df, sites, workspace), **options)
+    return en.enrich(df, en.cell_positions(df, sites, workspace), **options)
 
 
 def test_every_row_is_kept_once(clean, cell_info, workspace):
@@ -45,8 +45,7 @@ def test_filled_sites_equal_the_window_form(clean, cell_info, workspace):
         F.round(F.coalesce("cell_lat", F.avg("lat").over(cell)), 9).alias("cell_lat"),
         F.round(F.coalesce("cell_lon", F.avg("lng").over(cell)), 9).alias("cell_lon"),
     )
-    centroids = en.centroid_lookup(clean, sites, workspace)
-    filled = en.fill_sites(joined, centroids).select(
+    filled = en.attach_positions(clean, en.cell_positions(clean, sites, workspace)).select(
         *clean.columns,
         F.round("cell_lat", 9).alias("cell_lat"),
         F.round("cell_lon", 9).alias("cell_lon"),
@@ -73,7 +72,11 @@ def test_without_broadcasts_the_result_is_the_same(spark, clean, cell_info, work
     spark.conf.set(name, "-1")
     try:
         df = _enrich(clean, sites, workspace)
-        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1  # with the positions
+        # the two sides meet once, beside the broadcast keys of crowded cells
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert plan.count("BroadcastExchange") == 2
         assert df.columns[-2:] == ["distance_to_cell_km", "h3_index"]
         assert as_set(df) == expected
     finally:
@@ -155,3 +158,28 @@ def test_weakest_tenth_is_the_measured_rank(spark, size):
 def test_a_group_without_signal_has_no_mean(spark):
     got = kpi.indicators(_indicators(spark, [None, None]), ["cell_id"]).first()
     assert (got.avg_rsrp, got.p10_rsrp, got.weak_signal_ratio) == (None, None, 0.0)
+
+
+def test_the_centre_comes_with_the_cell(clean, cell_info, workspace):
+    sites = en.site_lookup(cell_info)
+    centred = _enrich(clean, sites, workspace, centre=("clat", "clon"))
+    from celltide.functions.grid import HexGrid
+
+    read_back = HexGrid().add_centre(centred.select("h3_index"), "h3_index", "clat", "clon")
+    assert as_set(centred, "h3_index", "clat", "clon") == as_set(read_back, "h3_index", "clat", "clon")
+
+
+def test_only_crowded_cells_are_copied(spark, workspace):
+    rows = [measurement(cell_id="crowd" if i % 3 else f"c{i}", lat=21.5 + i / 1e5) for i in range(900)]
+    clean = frame(spark, rows)
+    positions = en.cell_positions(clean, en.site_lookup(spark.createDataFrame([], schemas.CELL_INFO)), workspace)
+    hot = joins._hot_keys(positions, "n").collect()
+    assert [r.cell_id for r in hot] == ["crowd"]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    expected = as_set(en.attach_positions(clean, positions))
+    spark.conf.set(name, "-1")
+    try:
+        assert as_set(en.attach_positions(clean, positions)) == expected
+    finally:
+        spark.conf.set(name, before)

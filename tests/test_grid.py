@@ -119,3 +119,14 @@ def test_known_distances(spark):
 def test_unknown_ends_give_no_distance(spark):
     got = _distances(spark, [(None, 1.0, 2.0, 3.0), (1.0, 2.0, 3.0, None)])
     assert all(r.h is None and r.s is None for r in got)
+
+
+def test_positions_off_the_globe_and_around_it(spark):
+    nan, inf = math.nan, math.inf
+    off = [(nan, 1.0), (1.0, nan), (inf, 1.0), (1.0, -inf), (90.5, 1.0), (-91.0, 1.0)]
+    cells = GRID.assign(_points(spark, off), "lat", "lng", centre=("clat", "clng")).collect()
+    assert all((r.h3_index, r.clat, r.clng) == (None, None, None) for r in cells)
+    same = [(21.5, 105.8), (21.5, 465.8), (21.5, -254.2)]
+    assert len({r.h3_index for r in GRID.assign(_points(spark, same), "lat", "lng").collect()}) == 1
+    poles = GRID.assign(_points(spark, [(90.0, 0.0), (-90.0, 180.0), (0.0, -180.0), (0.0, 180.0)]), "lat", "lng").collect()
+    assert all(r.h3_index for r in poles) and poles[2].h3_index == poles[3].h3_index

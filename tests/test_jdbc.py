@@ -80,6 +80,12 @@ def test_table_names_are_checked(name):
         DB.options(name)
 
 
+def test_properties_reach_both_connections():
+    db = jdbc.Database("jdbc:x", "me", properties={"sslmode": "require"}, extra={"fetchsize": "10"})
+    assert db.options("t")["sslmode"] == "require" and db.options("t")["fetchsize"] == "10"
+    assert db.login() == {"user": "me", "sslmode": "require"}
+
+
 def test_slices():
     assert jdbc.Slices("id", 0, 100, 4).options() == {
         "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4",

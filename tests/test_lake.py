@@ -3,6 +3,7 @@ import os
 import pytest
 from helpers import as_set, frame, land, measurement
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from celltide import schemas
 from celltide.operators import quality
@@ -38,20 +39,38 @@ def test_replacing_twice_is_replacing_once(spark, table):
     assert as_set(table.scan()) == once
 
 
-@pytest.mark.parametrize("known", [False, True])
-def test_an_empty_hour_is_emptied(spark, table, known):
+def test_an_empty_hour_is_emptied(spark, table):
     table.replace(frame(spark, [measurement(hour=h) for h in ("08", "09")]), [EIGHT, NINE])
     late = frame(spark, [measurement(hour="08", cell_id="b")])
-    table.replace(late, [EIGHT, NINE], keys_from=[(DAY, "08")] if known else None)
+    table.replace(late, [EIGHT, NINE])
     assert as_set(table.scan(), "hour", "cell_id") == [("08", "b")]
     table.replace(late.limit(0), [EIGHT])
     assert table.scan().isEmpty()
 
 
-def test_rows_of_other_hours_stay_out(spark, table):
+@pytest.mark.parametrize("stray", [{"hour": "08"}, {"hour": None}, {"date": None}])
+def test_a_row_of_another_hour_is_an_error(spark, table, stray):
     table.replace(frame(spark, [measurement(hour="08")]), [EIGHT])
-    table.replace(frame(spark, [measurement(hour="08"), measurement(hour="09")]), [NINE])
-    assert _hours(table.scan()) == ["08", "09"]
+    row = {**measurement(hour="09"), **stray}
+    with pytest.raises(Exception, match="row outside the batches"):
+        table.replace(frame(spark, [measurement(hour="09"), row]), [NINE])
+    assert _hours(table.scan()) == ["08"]
+
+
+def test_removed_hours_are_empty(spark, table):
+    table.remove([NINE])
+    table.replace(frame(spark, [measurement(hour=h) for h in ("08", "09")]), [EIGHT, NINE])
+    table.remove([NINE, TEN])
+    assert _hours(table.scan()) == ["08"]
+
+
+def test_a_run_of_one_hour_lists_that_hour_only(spark, table, monkeypatch):
+    table.replace(frame(spark, [measurement(hour=f"{h:02d}") for h in range(24)]), Batch.day(DAY))
+    assert table.exists()
+    one = table.scan([NINE])
+    assert len({f.rsplit("/", 1)[0] for f in one.inputFiles()}) == 1
+    absent = table.scan([Batch("2027-01-01", "00")])  # without looking at the table's files
+    assert absent.isEmpty() and not absent.inputFiles() and sorted(absent.columns) == sorted(one.columns)
 
 
 def test_leading_partitions_are_emptied_too(spark, tmp_path):
@@ -103,6 +122,7 @@ def test_only_a_missing_table_is_tolerated(spark, table, monkeypatch):
         return spark.sql("SELECT no_such_column")
 
     monkeypatch.setattr(LakeTable, "scan", broken)
+    monkeypatch.setattr(LakeTable, "exists", lambda self: True)
     with pytest.raises(AnalysisException):
         table.scan_if_present()
 
@@ -111,8 +131,22 @@ def test_added_columns_are_found(spark, table, tmp_path):
     table.replace(frame(spark, [measurement(hour="08")]), [EIGHT])
     wider = schemas.table_schema(schemas.RAW, "extra bigint")
     table.replace(frame(spark, [{**measurement(), "extra": 7}], wider), [NINE])
-    assert as_set(table.scan_merged(), "hour", "extra") == [("08", None), ("09", 7)]
-    assert "extra" not in table.scan().columns
+    assert as_set(table.scan(), "hour", "extra") == [("08", None), ("09", 7)]
+    assert as_set(table.scan([EIGHT]), "hour", "extra") == [("08", None)]
+    again = LakeTable(spark, table.root, schemas.RAW)
+    assert "extra" in again.scan().columns
+
+
+def test_a_changed_type_is_refused_before_anything_is_written(spark, table):
+    table.replace(frame(spark, [measurement(hour="08")]), [EIGHT])
+    texts = frame(spark, [measurement(hour="08")]).withColumn("lat", F.col("lat").cast("string"))
+    with pytest.raises(ValueError, match="lat of .* is double and would become string"):
+        table.replace(texts, [EIGHT])
+    wider = schemas.table_schema(schemas.RAW, "extra bigint")
+    table.replace(frame(spark, [{**measurement(hour="09"), "extra": 7}], wider), [NINE])
+    with pytest.raises(ValueError, match="extra"):
+        table.replace(frame(spark, [measurement(hour="09")]).withColumn("extra", F.lit("x")), [NINE])
+    assert _hours(table.scan()) == ["08", "09"]
 
 
 def test_formats_are_checked(spark):
@@ -128,6 +162,7 @@ def test_landing_files_of_many_hours(spark, tmp_path):
         land(folder, batch, [measurement(hour=batch.hour), measurement(hour=batch.hour, lat=None)])
     both = landing.read_landing(spark, folder, [NINE, TEN])
     assert both.schema.names == schemas.RAW.names
+    assert [f.dataType for f in both.schema] == [f.dataType for f in schemas.RAW]
     assert _hours(both) == ["09", "09", "10", "10"]
     assert as_set(landing.read_landing(spark, folder, [TEN])) == as_set(both.filter("hour = '10'"))
     with pytest.raises(AnalysisException):
@@ -144,12 +179,30 @@ def test_malformed_numbers_are_null_and_swapped_headers_an_error(spark, tmp_path
     land(folder, NINE, [measurement(p_cell_rsrp="n/a", lat="north", cell_id=None)])
     row = landing.read_landing(spark, folder, [NINE]).first()
     assert (row.p_cell_rsrp, row.lat, row.cell_id, row.lng) == (None, None, None, 105.84)
+    assert "north" in row.unreadable
     names = [f.name for f in schemas.LANDING]
     land(folder, TEN, [measurement()], header=names[::-1])
     with pytest.raises(Exception, match="(?i)header"):
         landing.read_landing(spark, folder, [TEN]).collect()
 
 
+def test_decimals_and_rows_that_do_not_fit(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+    land(folder, NINE, [measurement(p_cell_rsrp=v) for v in ("-97.0", "-97", "-97.5", "1e12", "")])
+    rows = landing.read_landing(spark, folder, [NINE]).collect()
+    assert [r.p_cell_rsrp for r in rows] == [-97, -97, None, None, None]
+    assert [r.unreadable for r in rows] == [None, None, "p_cell_rsrp=-97.5", "p_cell_rsrp=1.0E12", None]
+
+    land(folder, TEN, [measurement(hour="10")])
+    good = open(f"{folder}/mdt_records_2026-05-05-10.csv").read().splitlines()
+    broken = [good[0], good[1], good[1] + ",more", "1,2", good[1].replace(",a", ',"a\nb"')]
+    open(f"{folder}/mdt_records_2026-05-05-10.csv", "w").write("\n".join(broken))
+    df = landing.read_landing(spark, folder, [TEN])
+    # a line broken inside quotes is two rows, of which the second is too short
+    assert df.where("unreadable IS NULL").count() == 2
+    assert df.select("cell_id").where("unreadable IS NOT NULL").count() == 3
+
+
 def test_the_shared_folder_is_the_clusters(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert Workspace(spark).root.startswith(shared_folder(spark))

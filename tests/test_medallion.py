@@ -93,6 +93,52 @@ def test_a_corrected_hour_replaces_the_old_one(make, cell_info, tmp_path):
         assert table.scan().isEmpty()
 
 
+def test_an_hour_that_is_blocked_later_leaves_gold(make, cell_info, tmp_path):
+    lake = make("lake")
+    run_range(lake, HOURS[:2], cell_info)
+    bad = _hour(HOURS[2])[-2:]
+    land(str(tmp_path / "landing"), HOURS[0], [{**r, "hour": "07"} for r in bad])
+    assert run_range(lake, HOURS[:2], cell_info).blocked == [HOURS[0]]
+    for table in (lake.enriched, lake.gold):
+        assert {r.hour for r in table.scan().collect()} == {"08"}
+    assert {r.hour for r in lake.checked.scan().collect()} == {"07", "08"}
+
+
+def test_the_gate_holds_in_every_stage(make, cell_info):
+    whole, staged = make("whole"), make("staged")
+    run_range(whole, HOURS, cell_info)
+    staged.ingest(HOURS)
+    assert staged.blocked(HOURS) == []
+    staged.check(HOURS)
+    assert staged.blocked(HOURS) == [HOURS[2]]
+    staged.enrich(HOURS, cell_info)
+    staged.aggregate(HOURS)
+    assert _tables(staged) == _tables(whole)
+
+
+def test_an_hour_without_clean_rows_does_not_pass_unnoticed(make, cell_info, tmp_path, caplog):
+    land(str(tmp_path / "landing"), HOURS[0], [measurement(hour="07", p_cell_rsrp=v) for v in (-97.5, "x")])
+    lake = make("lake")
+    land(str(tmp_path / "landing"), HOURS[0], [measurement(hour="07", p_cell_rsrp=v) for v in (-97.5, "x")])
+    with caplog.at_level("ERROR"):
+        run_batch(lake, HOURS[0], cell_info)
+    assert "without a single clean row" in caplog.text
+    report = lake.reports.scan().first()
+    assert (report.clean_count, report.undecided_count, report.unreadable_count) == (0, 2, 2)
+    land(str(tmp_path / "landing"), HOURS[0], [measurement(hour="07", p_cell_rsrp="-97.0")] * 3)
+    run_batch(lake, HOURS[0], cell_info)
+    report = lake.reports.scan().first()
+    assert (report.clean_count, report.unreadable_count, report.gx_success_rate) == (3, 0, 100.0)
+
+
+def test_scratch_is_dropped_with_the_stage(make, cell_info):
+    import os
+
+    lake = make("lake")
+    run_range(lake, HOURS, cell_info)
+    assert os.listdir(lake.workspace.root.removeprefix("file:")) == []
+
+
 def test_without_broadcasts_the_tables_are_the_same(spark, make, cell_info):
     expected, large = make("small"), make("large")
     run_range(expected, HOURS, cell_info)
@@ -147,8 +193,10 @@ def test_new_files_are_caught_up_once(make, cell_info, tmp_path):
     lake, expected = make("stream"), make("range")
     run_range(expected, HOURS, cell_info)
     checkpoint = str(tmp_path / "checkpoint")
-    catch_up(lake, cell_info, checkpoint).awaitTermination(120)
+    outcomes = []
+    catch_up(lake, cell_info, checkpoint, outcomes.append).awaitTermination(120)
     assert _tables(lake) == _tables(expected)
+    assert [o.blocked for o in outcomes] == [[HOURS[2]]]
 
     eleven = Batch(DAY, "11")
     land(str(tmp_path / "landing"), eleven, [measurement(hour="11")])

@@ -9,6 +9,9 @@ import pytest
 import __spark_entry__ as entry_point
 from helpers import as_set
 
+from celltide.plans.oracles import ORACLES
+from celltide.plans.queries import QUERIES
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -28,10 +31,16 @@ def _rows(rows, order):
     return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+def test_every_query_is_registered_with_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, oracle, name):
-    df = entry_point.queries()[name](spark, SF_DIR)
-    expected = oracle.sql(entry_point.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    expected = oracle.sql(ORACLES[name])
     columns = sorted(df.columns)
     assert columns == sorted(expected.columns)
     rows = df.collect()

@@ -176,22 +176,30 @@ def _binned_counts(rows: DataFrame) -> tuple[list, int, int]:
 
 
 def _best_threshold(rows: DataFrame, min_cover: int) -> tuple[Threshold, int, int] | None:
-    """The threshold with the largest information gain on ``rows``, and what it covers."""
+    """The threshold with the largest information gain on ``rows``, and what it covers.
+
+    Of neighbouring thresholds that cover the same rows, the middle one: it
+    keeps its distance from both sides.
+    """
     found, p0, n0 = _binned_counts(rows)
     if p0 < min_cover or not n0:
         return None
     best, best_gain = None, 0.0
     for name, grid in GRIDS.items():
         counts = {r.bin: (r.p, r.n) for r in found if r.feature == name}
-        for k, threshold in enumerate(grid):
-            for above in (True, False):
+        for above in (True, False):
+            by_cover: dict[tuple[int, int], list[float]] = {}
+            for k, threshold in enumerate(grid):
                 inside = [c for b, c in counts.items() if (b > k) == above]
-                p, n = sum(c[0] for c in inside), sum(c[1] for c in inside)
+                cover = sum(c[0] for c in inside), sum(c[1] for c in inside)
+                by_cover.setdefault(cover, []).append(threshold)
+            for (p, n), thresholds in by_cover.items():
                 if p < min_cover or p + n == p0 + n0:
                     continue
                 gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
                 if gain > best_gain + 1e-9:
-                    best, best_gain = (Threshold(name, above, threshold), p, n), gain
+                    middle = thresholds[len(thresholds) // 2]
+                    best, best_gain = (Threshold(name, above, middle), p, n), gain
     return best
 
 

@@ -1,0 +1,36 @@
+"""Every registered query over whole tables: against its SQL, or its shape where SQL cannot express it."""
+
+import os
+
+import duckdb
+import pytest
+
+from celltide.llm import registry
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+ROWS = {"op1": "embeddings", "op6": "conversations", "op8": "pages"}
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    con = duckdb.connect()
+    for name in os.listdir(SF_DIR):
+        con.sql(f"CREATE VIEW {name.removesuffix('.parquet')} AS FROM '{SF_DIR}/{name}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_query_equals_oracle(spark, oracle, name):
+    df = registry.QUERIES[name](spark, SF_DIR)
+    expected = oracle.sql(registry.ORACLES[name])
+    names, columns = list(expected.columns), sorted(df.columns)
+    assert columns == sorted(names)
+    got = sorted(str([r[c] for c in columns]) for r in df.collect())
+    assert got == sorted(str([r[names.index(c)] for c in columns]) for r in expected.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
+def test_query_has_a_row_per_input_row(spark, oracle, name):
+    table = ROWS.get(name.split("_")[0], "documents")
+    rows = oracle.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
+    assert registry.QUERIES[name](spark, SF_DIR).count() == rows > 0

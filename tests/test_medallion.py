@@ -131,6 +131,19 @@ def test_an_hour_without_clean_rows_does_not_pass_unnoticed(make, cell_info, tmp
     assert (report.clean_count, report.unreadable_count, report.gx_success_rate) == (3, 0, 100.0)
 
 
+def test_ingesting_again_reads_the_landing_files_once(spark, make):
+    lake = make("lake")
+    for group in ("first", "again"):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            lake.ingest(HOURS)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        assert len(jobs) == 1  # the write itself
+    assert {r.hour for r in lake.bronze.scan().collect()} == {"07", "08", "09"}
+
+
 def test_scratch_is_dropped_with_the_stage(make, cell_info):
     import os
 

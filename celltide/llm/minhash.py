@@ -7,15 +7,17 @@ the chosen miss probability. What survives is verified on the full sets.
 
 Not all pairs of a bucket are looked at. First every node is compared with the
 most central node it shares a bucket with, one pair per node. Pairs within a
-component then found need no look; the rest of a bucket is compared in blocks
-inside tasks, and only survivors leave them.
+component then found need no look. The rest of a small bucket is compared
+inside a task, which survivors leave as pairs. Large buckets that share nodes
+are one cluster, compared in pairs of blocks and verified inside tasks, which
+only links that join something leave. Neither way drops a candidate.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -177,13 +179,63 @@ def _pruned(pairs: DataFrame, nodes: DataFrame, miss: float) -> DataFrame:
     return _with(pairs, nodes, "signature").mapInArrow(prune, "a bigint, b bigint")
 
 
-def _compared_in_blocks(members: DataFrame, nodes: DataFrame, miss: float) -> DataFrame:
-    """Surviving pairs ``a, b`` of different components within buckets.
+def _groups(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Whole groups of a sorted stream; only one group and one slice are held at a time."""
+    rest: pa.RecordBatch | None = None
+    for batch in _slices(batches, 2048):
+        rows = batch if rest is None else pa.concat_batches([rest, batch])
+        keys = [_column(rows, c).to_numpy() for c in by]
+        changes = np.any([np.diff(k) != 0 for k in keys], axis=0)
+        cuts = [0, *(np.flatnonzero(changes) + 1)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            yield rows.slice(start, end - start)
+        rest = rows.slice(cuts[-1])  # the last group may go on in the next batch
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _candidates(rows: pa.RecordBatch, open_pairs: np.ndarray | None, least: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a group's rows that survive: of different components, and those of ``open_pairs``."""
+    component, size = (_column(rows, c).to_numpy() for c in ("component", "n_shingles"))
+    signature = _matrix(_column(rows, "signature"), np.uint32, SIZE)
+    a, b = np.triu_indices(rows.num_rows, 1)
+    apart = component[a] != component[b]
+    apart &= 4 * np.minimum(size[a], size[b]) >= 3 * np.maximum(size[a], size[b])  # else never similar enough
+    if open_pairs is not None:
+        apart &= open_pairs[a, b]
+    a, b = a[apart], b[apart]
+    kept = _surviving(signature, signature, a, b, least)
+    return a[kept], b[kept]
+
+
+def _pairs_of_buckets(members: DataFrame, known: DataFrame, miss: float) -> DataFrame:
+    """Surviving pairs ``a, b`` within buckets of at most ``BLOCK`` nodes.
+
+    ``members`` has ``bucket, node, component, cluster``; pairs within one
+    cluster are left to ``_links_of_clusters``.
+    """
+    least = least_matches(miss)
+    columns = ("bucket", "node", "component", "cluster", "n_shingles", "signature")
+    grouped = members.join(known.select("node", "n_shingles", "signature"), "node").select(*columns)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, ("bucket",)):
+            node, cluster = (_column(rows, c).to_numpy() for c in ("node", "cluster"))
+            a, b = _candidates(rows, cluster[:, None] != cluster[None, :], least)
+            yield pa.RecordBatch.from_pydict({"a": node[a], "b": node[b]})
+
+    found = grouped.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "a bigint, b bigint")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _links_of_clusters(clusters: DataFrame, known: DataFrame, sets: DataFrame, miss: float) -> DataFrame:
+    """Verified links ``a, b`` within clusters, as many as it takes to join what is linked.
 
-    ``members`` has ``bucket, node, component, blocks``. A bucket of more than
-    one block is compared as pairs of blocks, each a group of at most two
-    blocks' rows; the groups are read as a stream, sorted, and leave a task
-    only as surviving pairs.
+    ``clusters`` has ``cluster, node, component, blocks``. A cluster is
+    compared as pairs of blocks, each pair a group of at most two blocks' rows
+    in one task. Survivors are verified there, likeliest first, unless links
+    found before have joined their components; so a group of n rows leaves
+    less than n links, however many pairs are similar.
     """
     least = least_matches(miss)
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -191,49 +243,49 @@ def _compared_in_blocks(members: DataFrame, nodes: DataFrame, miss: float) -> Da
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(F.least(F.col("block"), o).alias("lo"), F.greatest(F.col("block"), o).alias("hi")),
     )
+    by = ("cluster", "lo", "hi")
     grouped = (
-        members.join(nodes.select("node", "n_shingles", "signature"), "node")
+        clusters.join(known.select("node", "n_shingles", "signature"), "node")
+        .join(sets, "node")
         .withColumn("block", own)
         .withColumn("pair", F.explode(others))
-        .select("bucket", "pair.lo", "pair.hi", "block", "node", "component", "n_shingles", "signature")
-        .repartition("bucket", "lo", "hi")
-        .sortWithinPartitions("bucket", "lo", "hi")
+        .select("cluster", "pair.lo", "pair.hi", "block", "node", "component", "n_shingles", "signature", "hashes")
+        .repartition(*by)
+        .sortWithinPartitions(*by)
     )
 
-    def group_pairs(rows: pa.RecordBatch) -> Iterator[np.ndarray]:
-        node, component, size, block, lo, hi = (
-            _column(rows, c).to_numpy() for c in ("node", "component", "n_shingles", "block", "lo", "hi")
-        )
-        signature = _matrix(_column(rows, "signature"), np.uint32, SIZE)
-        bucket = _column(rows, "bucket").to_numpy()
-        changes = (np.diff(bucket) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)
-        cuts = [0, *(np.flatnonzero(changes) + 1), len(node)]
-        for start, end in zip(cuts, cuts[1:], strict=False):
-            a, b = np.triu_indices(end - start, 1)
-            a, b = a + start, b + start
-            apart = (component[a] != component[b]) & ((lo[a] == hi[a]) | (block[a] != block[b]))
-            apart &= 4 * np.minimum(size[a], size[b]) >= 3 * np.maximum(size[a], size[b])  # else never similar enough
-            a, b = a[apart], b[apart]
-            kept = _surviving(signature, signature, a, b, least)
-            yield np.stack([node[a[kept]], node[b[kept]]])
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.RecordBatch | None = None
-        for batch in _slices(batches, 2048):
-            rows = batch if rest is None else pa.concat_batches([rest, batch])
-            bucket, lo, hi = (_column(rows, c).to_numpy() for c in ("bucket", "lo", "hi"))
-            last = np.flatnonzero((bucket != bucket[-1]) | (lo != lo[-1]) | (hi != hi[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            rest = rows.slice(cut)  # the last group may go on in the next batch
-            if cut:
-                found = np.concatenate(list(group_pairs(rows.slice(0, cut))), axis=1)
-                yield pa.RecordBatch.from_pydict({"a": found[0], "b": found[1]})
-        if rest is not None and rest.num_rows:
-            found = np.concatenate(list(group_pairs(rest)), axis=1)
-            yield pa.RecordBatch.from_pydict({"a": found[0], "b": found[1]})
-
-    found = grouped.mapInArrow(compare, "a bigint, b bigint")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for rows in _groups(batches, by):
+            node, component, block, lo, hi = (_column(rows, c).to_numpy() for c in ("node", "component", "block", "lo", "hi"))
+            across = (block[:, None] != block[None, :]) | (lo[0] == hi[0])
+            a, b = _candidates(rows, across, least)
+            signature = _matrix(_column(rows, "signature"), np.uint32, SIZE)
+            order = np.argsort(-np.array([(signature[i] == signature[j]).sum() for i, j in zip(a, b, strict=True)]), kind="stable")
+            hashes = [np.frombuffer(h, np.uint64) for h in _column(rows, "hashes").to_pylist()]
+            joined = {int(c): int(c) for c in component}
+
+            def root(c: int) -> int:
+                while joined[c] != c:
+                    joined[c] = c = joined[joined[c]]
+                return c
+
+            links = []
+            for k in order:
+                i, j = a[k], b[k]
+                left, right = root(int(component[i])), root(int(component[j]))
+                if left != right and _similar(hashes[i], hashes[j]):
+                    joined[left] = right
+                    links.append((node[i], node[j]))
+            ends = np.array(links, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_pydict({"a": ends[:, 0], "b": ends[:, 1]})
+
+    return grouped.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full sets are similar enough, by whole numbers."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= 75 * (len(a) + len(b) - both)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -252,15 +304,12 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough, by whole numbers."""
+    """The pairs whose full sets are similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _slices(batches):
-            good = []
-            for left, right in zip(_column(rows, "left").to_pylist(), _column(rows, "right").to_pylist(), strict=True):
-                a, b = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * both >= 75 * (len(a) + len(b) - both))
+            ends = zip(_column(rows, "left").to_pylist(), _column(rows, "right").to_pylist(), strict=True)
+            good = [_similar(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)) for left, right in ends]
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_pydict({c: _column(rows, c).filter(mask) for c in ("a", "b")})
 
@@ -300,13 +349,27 @@ def mark(docs: DataFrame, key: str = "doc_id", text: str = "text", miss: float =
     component = F.coalesce("component", "node")
     placed = members.join(found, "node", "left").select("bucket", "node", component.alias("component"))
     placed = workspace.stage(placed, "placed")
-    several = placed.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")
+    opened = placed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.min("node").alias("first"),
     )
-    several = several.where("lo != hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    open_buckets = placed.join(workspace.stage(several, "several"), "bucket")
-    rest = workspace.stage(_compared_in_blocks(open_buckets, known, miss), "rest")
-    links = workspace.stage(links.unionByName(_verified(rest, sets)), "links")
+    opened = workspace.stage(opened.where("lo != hi").select("bucket", "size", "first"), "opened")
+    large = placed.join(opened.where(F.col("size") > BLOCK), "bucket")
+    large = workspace.stage(large.select(F.col("node").alias("a"), F.col("first").alias("b")), "large")
+    clusters = components(large, workspace).withColumnRenamed("component", "cluster")
+    clusters = workspace.stage(clusters, "clusters")
+    small = placed.join(opened.where(F.col("size") <= BLOCK).select("bucket"), "bucket")
+    small = small.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
+    rest = workspace.stage(_pairs_of_buckets(small, known, miss), "rest")
+    links = [links, _verified(rest, sets)]
+    if not clusters.isEmpty():
+        blocks = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+        within = clusters.join(clusters.groupBy("cluster").agg(blocks), "cluster").join(found, "node", "left")
+        within = within.select("cluster", "node", component.alias("component"), "blocks")
+        links.append(_links_of_clusters(within, known, sets, miss))
+    links = workspace.stage(reduce(DataFrame.unionByName, links), "links")
 
     found = workspace.stage(components(links, workspace), "components")
     root = F.coalesce("component", "node")

@@ -153,9 +153,11 @@ def labelled_samples(docs: DataFrame, text: str = "text", sample_docs: int = SAM
     for pattern in PATTERNS.values():
         rest = F.regexp_replace(rest, pattern, " ")
     ordinary = F.regexp_extract_all(rest, F.lit(f"({RUN}{{8,}})"), F.lit(1))
-    split = sampled.select(F.concat(*map(values, PATTERNS)).alias("random"), ordinary.alias("ordinary"))
-    random = split.select(F.explode("random").alias("value"), F.lit(True).alias("random"))
-    return random.unionAll(split.select(F.explode("ordinary").alias("value"), F.lit(False).alias("random")))
+    labelled = F.concat(
+        F.transform(F.concat(*map(values, PATTERNS)), lambda v: F.struct(v.alias("value"), F.lit(True).alias("random"))),
+        F.transform(ordinary, lambda v: F.struct(v.alias("value"), F.lit(False).alias("random"))),
+    )
+    return sampled.select(F.inline(labelled))
 
 
 def scan(docs: DataFrame, model: CharModel, text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 Quote markers (``>``, nested) split a message into passages. Quoted passages
 are hashed after normalisation and joined to the latest earlier message of the
 conversation that says the same unquoted: that message is what was replied to.
+Passages that no message says as a whole are joined by runs of their words.
 Replies form threads, which are listed without the quotes. All of it is
 built-in expressions; where the order within a conversation matters, it is
 worked out in blocks of turns, so a very long conversation is many tasks.
@@ -13,11 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from celltide.llm.common import let, table, without
+from celltide.llm.common import let, salted_join, table, without
 from celltide.sources.workspace import Workspace
 
 BLOCK = 4096
 MAX_ROUNDS = 60
+#: Words of a unit. Fewer words in common are no evidence of a quotation.
+UNIT = 5
 _NEXT, _LEVEL = "\x01", "\x02"
 #: Lines that announce a quote, in the four languages of the corpus; fixed patterns.
 ANNOUNCES = r"(?i)^\s*(on\s.{1,200}\swrote|am\s.{1,200}\sschrieb.{0,80}|le\s.{1,200}\sa écrit|el\s.{1,200}\sescribió)\s*:\s*$"
@@ -38,7 +41,7 @@ def _lines(text: Column) -> Column:
 
 
 def passages(text: Column) -> Column:
-    """``struct(level, hash)`` of each passage: lines of one level up to a blank line, normalised.
+    """``struct(level, hash, words)`` of each passage: lines of one level up to a blank line, normalised.
 
     Case, punctuation and white space do not count, so a quote that was
     wrapped anew still matches. Passages without a letter or digit are none.
@@ -62,7 +65,7 @@ def passages(text: Column) -> Column:
 
     split = F.filter(F.split(let(_lines(text), joined), _NEXT), lambda p: p != "")
     said = F.filter(F.transform(split, passage), lambda p: p["words"] != "")
-    return F.transform(said, lambda p: F.struct(p["level"], F.md5(p["words"]).alias("hash")))
+    return F.transform(said, lambda p: F.struct(p["level"], F.md5(p["words"]).alias("hash"), p["words"]))
 
 
 def unquoted(text: Column) -> Column:
@@ -97,31 +100,77 @@ def _latest_before(rows: DataFrame, keys: list[str], found: Column) -> DataFrame
     )
 
 
+def units(words: Column) -> Column:
+    """Hashes of the runs of ``UNIT`` words of a passage, each once, wherever its lines were broken."""
+
+    def runs(split: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(split) - UNIT)
+        run = F.transform(starts, lambda i: F.xxhash64(*[F.get(split, i + k) for k in range(UNIT)]))
+        return F.when(F.size(split) >= UNIT, F.array_distinct(run)).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.split(words, " "), runs)
+
+
+def _part_links(quoted: DataFrame, origins: DataFrame, workspace: Workspace) -> DataFrame:
+    """``conv_id, turn, level, hash, part_turn`` of the quoted passages of which earlier turns say half the units or more.
+
+    Each unit votes for the latest earlier turn that says it unquoted; the
+    turn with most votes is the source, the later one if two have as many.
+    """
+    key = ["conv_id", "turn", "level", "hash"]
+    asked = workspace.stage(quoted.select(*key, F.explode(units(F.col("words"))).alias("unit")), "units")
+    wanted = asked.select("conv_id", "unit").distinct()
+    said = salted_join(origins, asked.select("conv_id").distinct(), "conv_id", F.col("turn"))
+    said = said.select("conv_id", "turn", F.explode(units(F.col("words"))).alias("unit"))
+    said = said.join(wanted, ["conv_id", "unit"], "left_semi").distinct()
+    both = asked.unionByName(said.withColumn("level", F.lit(0)), allowMissingColumns=True)
+    voted = _latest_before(both, ["conv_id", "unit"], F.col("level") == 0).where("level > 0")
+    votes = voted.groupBy(*key, "latest").agg(F.count(F.lit(1)).alias("n"))
+    found = F.col("latest").isNotNull()
+    most = F.max_by(F.when(found, F.col("latest")), F.when(found, F.struct("n", "latest")))
+    sums = votes.groupBy(*key).agg(
+        most.alias("part_turn"), F.sum(F.when(found, F.col("n"))).alias("matched"), F.sum("n").alias("all")
+    )
+    return sums.where(2 * F.col("matched") >= F.col("all")).drop("matched", "all")
+
+
 def quote_links(messages: DataFrame, workspace: Workspace) -> DataFrame:
-    """``conv_id, turn, level, hash, source_turn`` of each quoted passage; the source is null if not found.
+    """``conv_id, turn, level, hash, source_turn, whole`` of each quoted passage; the source is null if not found.
 
     The source is the latest earlier turn of the conversation whose unquoted
-    text has the passage. Equal passages of a message at one level are one.
+    text has the passage; ``whole`` is true then. Of a passage that no earlier
+    turn has, such as some lines of a longer one, it is the turn that says
+    most of its units. Equal passages of a message at one level are one.
     """
     said = messages.select("conv_id", "turn", F.explode(passages(F.col("text"))).alias("p"))
-    said = said.select("conv_id", "turn", "p.level", "p.hash")
-    quoted = workspace.stage(said.where("level > 0").distinct(), "quoted")
+    said = said.select("conv_id", "turn", "p.level", "p.hash", "p.words")
+    key = ["conv_id", "turn", "level", "hash"]
+    quoted = workspace.stage(said.where("level > 0").dropDuplicates(key), "quoted")
     wanted = quoted.select("conv_id", "hash").distinct()
-    origins = said.where("level = 0").drop("level").join(wanted, ["conv_id", "hash"], "left_semi").distinct()
-    both = quoted.unionByName(origins.withColumn("level", F.lit(0)))
-    linked = _latest_before(both, ["conv_id", "hash"], F.col("level") == 0)
-    return linked.where("level > 0").withColumnRenamed("latest", "source_turn")
+    plain = said.where("level = 0").drop("level")
+    origins = plain.drop("words").join(wanted, ["conv_id", "hash"], "left_semi").distinct()
+    both = quoted.drop("words").unionByName(origins.withColumn("level", F.lit(0)))
+    linked = _latest_before(both, ["conv_id", "hash"], F.col("level") == 0).where("level > 0")
+    linked = workspace.stage(linked, "whole")
+    rest = quoted.join(linked.where("latest IS NULL"), key, "left_semi")
+    parts = _part_links(rest, plain, workspace)
+    return linked.join(parts, key, "left").select(
+        *key, F.coalesce("latest", "part_turn").alias("source_turn"), F.col("latest").isNotNull().alias("whole")
+    )
 
 
 def _parents(turns: DataFrame, links: DataFrame) -> DataFrame:
     """``conv_id, turn, parent_turn, n_quoted, n_linked`` of each turn.
 
     The parent is the source of most passages at the lowest level that has
-    sources, the later one if two have as many; without sources, the turn before.
+    sources, whole passages first, the later one if two have as many; without
+    sources, the turn before.
     """
     found = links.where("source_turn IS NOT NULL")
-    votes = found.groupBy("conv_id", "turn", "level", "source_turn").agg(F.count(F.lit(1)).alias("n"))
-    order = F.struct(-F.col("level"), F.col("n"), F.col("source_turn"))
+    votes = found.groupBy("conv_id", "turn", "level", "source_turn").agg(
+        F.count_if("whole").alias("n_whole"), F.count(F.lit(1)).alias("n")
+    )
+    order = F.struct(-F.col("level"), F.col("n_whole"), F.col("n"), F.col("source_turn"))
     quoted = votes.groupBy("conv_id", "turn").agg(F.max_by("source_turn", order).alias("quoted_turn"))
     totals = links.groupBy("conv_id", "turn").agg(
         F.count(F.lit(1)).alias("n_quoted"), F.count("source_turn").alias("n_linked")

@@ -44,6 +44,28 @@ def test_quotes_link_to_what_they_quote(spark):
     assert got[1, 2].body == "Still unknown to me." and got[1, 3].body == "I was wrong." and got[2, 0].body == "hello"
 
 
+def test_parts_of_a_paragraph_link_to_what_they_quote(spark):
+    rows = [
+        (1, 0, "user", "The ferry leaves the old harbour at nine.\nBring warm clothes and enough water\nfor the whole day on deck."),
+        (1, 1, "assistant", "Noted, but the weather report speaks of rain and strong wind tonight."),
+        (1, 2, "user", "> The ferry leaves the old harbour at nine.\n\nAt nine sharp?"),  # one sentence
+        (1, 3, "user", "> Bring warm clothes and enough\nWhich ones?\n> water for the whole day on deck.\nHow much?"),  # cut, wrapped anew
+        (1, 4, "user", "> the weather report speaks of rain\n\n> > Bring warm clothes and enough water\n\nOh."),
+        (1, 5, "user", "> Bring some warm socks and a good book\n\nNobody said so."),
+        (2, 6, "user", "> The ferry leaves the old harbour at nine.\n\nAnother conversation."),
+    ]
+    got = by_place(threads.link(frame(spark, rows)).collect())
+    assert {k: (r.parent_turn, r.thread_turn, r.n_quoted, r.n_linked) for k, r in got.items()} == {
+        (1, 0): (None, 0, 0, 0),
+        (1, 1): (0, 0, 0, 0),
+        (1, 2): (0, 2, 1, 1),
+        (1, 3): (0, 3, 2, 2),
+        (1, 4): (1, 0, 2, 2),
+        (1, 5): (4, 0, 1, 0),
+        (2, 6): (None, 6, 1, 0),
+    }
+
+
 def test_rows_come_in_reply_order_and_as_chat(spark):
     linked = threads.link(frame(spark, MAIL + [MAIL[4]]))
     assert [(r.conv_id, r.thread_turn, r.turn) for r in linked.collect()] == [

@@ -266,6 +266,48 @@ def conversations(linked: DataFrame, turns_per_row: int = 256) -> DataFrame:
     return listed.agg(F.array_join(F.transform(ordered, lambda m: m["message"]), "").alias("chat"))
 
 
+def derived_replies(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, text, quotes_turn``: replies that quote a hash-chosen quarter of the turns, after the last of each conversation.
+
+    By a hash, a reply quotes the whole message, the middle of it wrapped
+    anew, or both halves with an answer in between; short ones are quoted whole.
+    """
+    draw = lambda what, below: F.pmod(F.xxhash64(F.lit(what), "conv_id", "turn"), F.lit(below))
+    placed = messages.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    spans = placed.groupBy("conv_id").agg((F.max("turn") - F.min("turn") + 1).alias("span"))
+    chosen = placed.where((draw("quoted", 4) == 0) & F.col("text").rlike(r"[\p{L}\p{N}]"))
+    chosen = chosen.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+
+    def quoted(words: Column) -> Column:
+        n = F.size(words)
+        part = lambda start, length: F.concat(F.lit("> "), F.array_join(F.slice(words, start, length), " "))
+        half = F.floor(n / 2).cast("int")
+        middle = part(F.floor(n / 4).cast("int") + 1, half)
+        cut = F.concat_ws("\n", part(F.lit(1), half), F.lit("Why is that?"), part(half + 1, n))
+        whole = F.concat(F.lit("> "), F.replace(F.col("text"), F.lit("\n"), F.lit("\n> ")))
+        kind = draw("kind", 3)
+        return F.when((n < 4 * UNIT) | (kind == 0), whole).when(kind == 1, middle).otherwise(cut)
+
+    replies = salted_join(chosen, spans, "conv_id", F.col("turn"))
+    text = F.concat(let(words, quoted), F.lit("\n\nThat is my answer."))
+    return replies.select("conv_id", (F.col("turn") + F.col("span")).alias("turn"), text.alias("text"), F.col("turn").alias("quotes_turn"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages in reply order, without quotes."""
-    return link(table(spark, sf_dir, "conversations"))
+    """All messages in reply order, without quotes, and what became of the derived replies that quote them.
+
+    The given conversations hold no quotes. The derived replies follow each
+    conversation, so links and threads of its given rows are the same without them.
+    """
+    messages = table(spark, sf_dir, "conversations")
+    both = messages.unionByName(derived_replies(messages), allowMissingColumns=True)
+    linked = Workspace(spark).stage(link(both), "linked")
+    names = ("turn", "parent_turn", "thread_turn", "n_quoted", "n_linked")
+    replies = linked.where("quotes_turn IS NOT NULL").select(
+        "conv_id", F.col("quotes_turn").alias("_turn"), *[F.col(c).alias(f"reply_{c}") for c in names]
+    )
+    replies = replies.withColumnRenamed("_turn", "turn")
+    given = linked.where("quotes_turn IS NULL").drop("quotes_turn")
+    found = given.join(replies, ["conv_id", "turn"], "left")
+    return found.select(*given.columns, *[f"reply_{c}" for c in names]).orderBy("conv_id", "thread_turn", "turn")

@@ -1,9 +1,11 @@
+import os
 import random
 import re
 
 from celltide.llm import threads
 from pyspark.sql import functions as F
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
 
@@ -143,6 +145,19 @@ def test_links_equal_brute_force(spark, monkeypatch):
         assert (x.parent_turn, x.thread_turn, x.n_quoted, x.n_linked) == want[x.conv_id, x.turn], (x, want[x.conv_id, x.turn])
 
 
+def test_registered_query_links_derived_quotes(spark):
+    given = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    alone = {(r.conv_id, r.turn): (r.parent_turn, r.thread_turn, r.n_quoted, r.n_linked) for r in threads.link(given).collect()}
+    rows = threads.query(spark, SF_DIR).collect()
+    assert {(r.conv_id, r.turn): (r.parent_turn, r.thread_turn, r.n_quoted, r.n_linked) for r in rows} == alone
+    assert [(r.conv_id, r.thread_turn, r.turn) for r in rows] == sorted((r.conv_id, r.thread_turn, r.turn) for r in rows)
+    replies = [r for r in rows if r.reply_turn is not None]
+    assert 0.1 * len(rows) < len(replies) < 0.5 * len(rows)
+    assert all(r.reply_n_quoted > 0 and r.reply_n_linked == r.reply_n_quoted for r in replies)
+    assert all(r.reply_parent_turn == r.turn for r in replies)
+    assert any(r.reply_n_quoted > 1 for r in replies) and any(r.reply_thread_turn == r.reply_turn for r in replies)
+
+
 def test_edge_cases(spark):
     long = "\n".join(f"> line {i}\n\nanswer {i}" for i in range(5000))
     rows = [(None, 1, "u", "> a\nb"), (3, None, "u", None), (3, 1, None, ""), (3, 1, None, ""), (3, 2, "u", long), (3, -5, "u", "\x01\x02> q")]

@@ -3,7 +3,8 @@
 The list is grown by sequential covering: each rule is a conjunction of
 thresholds on statistics, grown on two thirds of the labelled rows by
 information gain, pruned on the last third, and kept if it is precise there.
-Rows it covers are left out and the next rule is grown. All counts are Spark
+Rows it covers are left out and the next rule is grown, until none can be;
+rows covered by a rule that is not kept are left out of growing only. All counts are Spark
 aggregates over all labelled rows; the driver sees counts per feature and bin.
 The result is an ordered ``CASE WHEN`` over built-in expressions.
 """
@@ -215,7 +216,7 @@ def _pruned(rule: Rule, rows: DataFrame) -> tuple[Rule, int, int]:
 
 def learn(
     labelled: DataFrame,
-    max_rules: int = 12,
+    max_rules: int | None = None,
     max_conditions: int = 4,
     min_cover: int = 3,
     min_precision: float = 0.95,
@@ -223,29 +224,33 @@ def learn(
     """Ordered rules that reject, from rows with the statistics, a boolean ``reject`` and a ``fold`` 0 to 2.
 
     Rules are grown on folds 0 and 1 and pruned and tested on fold 2. A rule
-    that covers fewer than ``min_cover`` rejected rows, or is less precise
-    than ``min_precision`` on fold 2, ends the list. One class only, or no
-    rows, gives no rules. ``labelled`` is scanned once per condition tried: it
-    should be a written table.
+    that is less precise than ``min_precision`` on fold 2, or covers no
+    rejected row there, is not kept: its rows are set aside and growing goes on
+    with the others. The list ends when no rule covers ``min_cover`` rejected
+    rows any more, or at ``max_rules`` if given. One class only, or no rows,
+    gives no rules. ``labelled`` is scanned once per condition tried: it should
+    be a written table.
     """
     grow, prune = labelled.where("fold < 2"), labelled.where("fold = 2")
     rules: list[Rule] = []
-    while len(rules) < max_rules:
-        rule: Rule = ()
+    while max_rules is None or len(rules) < max_rules:
+        grown: Rule = ()
         rows = grow
-        while len(rule) < max_conditions:
+        while len(grown) < max_conditions:
             found = _best_threshold(rows, min_cover)
             if found is None:
                 break
-            rule += (found[0],)
+            grown += (found[0],)
             rows = rows.where(found[0].column())
             if not found[2]:
                 break
-        if not rule:
+        if not grown:
             break
-        rule, right, wrong = _pruned(rule, prune)
+        rule, right, wrong = _pruned(grown, prune)
         if not right or right < min_precision * (right + wrong):
-            break
+            # the rows the whole rule covers, at least min_cover: what a cut of it covers may be almost all
+            grow = grow.where(~matches(grown))
+            continue
         rules.append(rule)
         grow, prune = grow.where(~matches(rule)), prune.where(~matches(rule))
     return rules

@@ -61,6 +61,18 @@ def test_learned_list_separates_held_out_rows(spark):
     assert all((r.rule is None) == r.kept for r in rows)
 
 
+def test_learning_goes_on_after_a_rule_that_fails(spark):
+    plain = dict.fromkeys(quality.GRIDS, 0.25)
+    rows = [(plain, False, i % 3) for i in range(300)]
+    # the most frequent kind is rejected in folds 0 and 1 and accepted in fold 2; another is not in fold 2 at all
+    rows += [(plain | {"symbol_share": 0.65}, i % 3 < 2, i % 3) for i in range(90)]
+    rows += [(plain | {"bang_share": 0.65}, True, i % 2) for i in range(30)]
+    rows += [(plain | {"digit_share": 0.65}, True, i % 3) for i in range(24)]
+    frame = spark.createDataFrame([(*r.values(), reject, fold) for r, reject, fold in rows], [*quality.GRIDS, "reject", "fold"])
+    rules = quality.learn(frame.cache())
+    assert [t.feature for rule in rules for t in rule] == ["digit_share"]
+
+
 def test_edge_cases_have_a_verdict(spark):
     docs = frame(spark).withColumnsRenamed({"lang": "N_Words", "source": "kept"})
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

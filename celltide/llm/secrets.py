@@ -29,6 +29,7 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = (*PATTERNS, "markov")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 RUN = "[A-Za-z0-9+/_=-]"
+LEAST_RUN = 16
 SAMPLE_DOCS = 10_000
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -165,19 +166,43 @@ def scan(docs: DataFrame, model: CharModel, text: str = "text") -> DataFrame:
 
     ``kind`` is a place in ``KINDS``; positions are code points, the end
     exclusive. ``spans`` adds to the base spans those of kind ``markov``: runs
-    of 16 or more token characters that the model takes for random and that
-    touch no base span. A null text counts as an empty one and has no spans.
+    of 16 or more token characters outside base spans that the model takes for
+    random; a run that base spans touch is cut there, and each piece is scored
+    on its own. A null text counts as an empty one and has no spans.
     Equal rows get equal spans; input columns of the same names are replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    run = f"({RUN}{{16,}})"
-    random = _spans(whole, run, KINDS.index("markov"), model.is_random)
+    kind = KINDS.index("markov")
+    run = f"({RUN}{{{LEAST_RUN},}})"
+    random = _spans(whole, run, kind, model.is_random)
+    runs = _spans(whole, run, kind, lambda _: F.lit(True))
 
-    def apart(base: Column) -> Column:
-        def touches(s: Column) -> Column:
-            return F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
+    def touching(s: Column, base: Column) -> Column:
+        return F.filter(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
+
+    def outside(s: Column, touched: Column) -> Column:
+        """What the base spans leave of a run: before each of them, and after the last."""
+        none = F.struct(s["start"].alias("at"), F.array().cast(_SPANS).alias("spans"))
+
+        def cut(state: Column, start: Column, end: Column) -> Column:
+            piece = F.struct(state["at"].alias("start"), F.lit(kind).alias("kind"), start.alias("end"))
+            long = start - state["at"] >= LEAST_RUN
+            spans = F.when(long, F.array_append(state["spans"], piece)).otherwise(state["spans"])
+            return F.struct(F.greatest(state["at"], end).alias("at"), spans.alias("spans"))
+
+        return F.aggregate(touched, none, lambda state, b: cut(state, b["start"], b["end"]), lambda state: cut(state, s["end"], s["end"])["spans"])
 
-        return F.array_sort(F.concat(base, F.filter(random, lambda s: ~touches(s))))
+    def pieces(base: Column) -> Column:
+        def left(s: Column) -> Column:
+            return let(touching(s, base), lambda t: F.when(F.size(t) == 0, F.array().cast(_SPANS)).otherwise(outside(s, t)))
+
+        cut = F.flatten(F.transform(runs, left))
+        is_random = lambda s: model.is_random(F.substr(whole, s["start"] + 1, s["end"] - s["start"]))
+        return F.when(F.size(base) == 0, F.array().cast(_SPANS)).otherwise(F.filter(cut, is_random))
+
+    def apart(base: Column) -> Column:
+        untouched = F.filter(random, lambda s: F.size(touching(s, base)) == 0)
+        return F.array_sort(F.concat(base, untouched, pieces(base)))
 
     return (
         without(docs, ["base_spans", "spans"])

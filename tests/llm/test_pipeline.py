@@ -11,7 +11,7 @@ from cases import documents, frame, prose
 from pyspark.sql import functions as F
 from test_minhash import expected, shingles
 from test_mixing import copies
-from test_quality import counts
+from test_quality_rules import counts
 from test_secrets import base
 
 import corpus_pipeline

@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from celltide.llm import bpe, edits, hnsw, minhash, mixing, quality, secrets, sharding, threads, urls
+from celltide.llm import bpe, edits, hnsw, minhash, mixing, packing, quality, secrets, sharding, threads, urls
 
 QUERIES = {
     "op1_hnsw_near_dups": hnsw.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_url_filter": urls.query,
     "op9_quality_rules": quality.query,
     "op10_rendezvous_shards": sharding.query,
+    "op11_best_fit_packing": packing.query,
 }
 
 ORACLES = {

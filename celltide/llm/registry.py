@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from celltide.llm import bpe, edits, hnsw, minhash, mixing, packing, quality, secrets, sharding, threads, urls
+from celltide.llm import bpe, edits, hnsw, lexical, minhash, mixing, packing, quality, secrets, sharding, threads, urls
 
 QUERIES = {
     "op1_hnsw_near_dups": hnsw.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_quality_rules": quality.query,
     "op10_rendezvous_shards": sharding.query,
     "op11_best_fit_packing": packing.query,
+    "op12_norm_bucket_search": lexical.query,
 }
 
 ORACLES = {
@@ -21,4 +22,5 @@ ORACLES = {
     "op2_mix_sources": mixing.ORACLE,
     "op3_minhash_near_dups": minhash.ORACLE,
     "op10_rendezvous_shards": sharding.ORACLE,
+    "op12_norm_bucket_search": lexical.ORACLE,
 }

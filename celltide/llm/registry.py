@@ -1,6 +1,20 @@
 """Registered queries of the operators, and their SQL where SQL can express them."""
 
-from celltide.llm import bpe, edits, hnsw, lexical, minhash, mixing, packing, quality, secrets, sharding, threads, urls
+from celltide.llm import (
+    alignment,
+    bpe,
+    edits,
+    hnsw,
+    lexical,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    threads,
+    urls,
+)
 
 QUERIES = {
     "op1_hnsw_near_dups": hnsw.query,
@@ -15,6 +29,7 @@ QUERIES = {
     "op10_rendezvous_shards": sharding.query,
     "op11_best_fit_packing": packing.query,
     "op12_norm_bucket_search": lexical.query,
+    "op13_tokenizer_alignment": alignment.query,
 }
 
 ORACLES = {

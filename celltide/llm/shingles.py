@@ -8,14 +8,13 @@ import numpy as np
 
 WORDS = 5
 _SEGMENT = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so its powers can be divided out again
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _random = np.random.default_rng(20240501)
-_OF_BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER]
+_SEED = _random.integers(1, 1 << 63, dtype=np.uint64)
 _OF_PLACE = _random.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -27,29 +26,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Hashes words by sums over their bytes, weighted by powers that are divided out again."""
+    """Hashes words lane by lane: eight bytes and their place are mixed, and the sum is mixed with the length.
 
-    def __init__(self) -> None:
-        self._powers = self._inverses = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self._powers) < n:
-            size = max(n, _SEGMENT + 1)
-            ones = np.ones(size, np.uint64)
-            self._powers, self._inverses = ones.copy(), ones
-            self._powers[1:], self._inverses[1:] = _BASE, _INVERSE
-            np.cumprod(self._powers, out=self._powers)
-            np.cumprod(self._inverses, out=self._inverses)
+    A polynomial modulo a power of two would give some different words of
+    regular build the same hash, whatever its base.
+    """
 
     def _words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes and first bytes of the words of ``data``, lower-cased."""
         gaps = np.flatnonzero(np.diff(_IS_SPACE[data], prepend=True, append=True))
         starts, ends = gaps[::2], gaps[1::2]
-        self._grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_OF_BYTE[data] * self._powers[: len(data)], out=sums[1:])
-        hashes = (sums[ends] - sums[starts]) * self._inverses[starts]
-        return mixed(hashes + (ends - starts).astype(np.uint64)), starts
+        if not len(starts):
+            return np.zeros(0, np.uint64), starts
+        length = ends - starts
+        lanes = (length + 7) // 8
+        first = np.cumsum(lanes) - lanes
+        lane = np.arange(lanes.sum()) - np.repeat(first, lanes)
+        padded = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
+        eights = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+        behind = np.maximum(8 - (np.repeat(length, lanes) - 8 * lane), 0).astype(np.uint64)  # bytes after the word
+        value = eights[np.repeat(starts, lanes) + 8 * lane] << (behind * np.uint64(8))
+        hashes = mixed(mixed(value + _SEED) + lane.astype(np.uint64) * _STEP)
+        return mixed(np.add.reduceat(hashes, first) + length.astype(np.uint64) * _STEP), starts
 
     def _long(self, data: np.ndarray) -> np.ndarray:
         """Word hashes of a long text, in segments that end at white space."""

@@ -56,6 +56,18 @@ def near_copies():
     return [(1000 + 3 * i, t, "en", "s", len(t)) for i, t in enumerate(rows)]
 
 
+def test_regular_words_hash_apart():
+    """Thue-Morse words and their complements, which polynomials modulo a power of two confuse, among other regular ones."""
+    words = []
+    for k in range(6, 14):
+        bits = [bin(i).count("1") % 2 for i in range(1 << k)]
+        words += ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    words += ["ab" * n for n in range(1, 40)] + ["a" * n for n in range(1, 80)] + ["x" * 8 + "y" * 8, "y" * 8 + "x" * 8]
+    hashes = [Shingler().sets([w.encode()])[0][0] for w in words]
+    assert len(set(hashes)) == len(set(words))
+    assert len(Shingler().sets([" ".join(words[8:10] + ["c d e f g"]).encode()])[0]) == 3
+
+
 def test_hashed_sets_equal_sets_of_words():
     texts = [t or "" for _, t, *_ in documents() + near_copies()]
     found = Shingler().sets([t.encode() for t in texts])

@@ -16,12 +16,12 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from celltide import schemas
-from celltide.plans.medallion import Lakehouse, Outcome, Settings, run_range
+from celltide.plans.medallion import Lakehouse, Outcome, Settings, run_changed, run_range
 from celltide.schemas import Batch
 from celltide.sources import jdbc
 from celltide.streaming.catchup import catch_up
 
-STAGES = ("ingest", "check", "enrich", "aggregate", "publish", "map", "all", "catch-up")
+STAGES = ("ingest", "check", "enrich", "aggregate", "publish", "map", "all", "changed", "catch-up")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -69,7 +69,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             raise SystemExit("--checkpoint is required")
         outcomes: list[Outcome] = []
         catch_up(lake, cells(spark, args, db), args.checkpoint, outcomes.append).awaitTermination()
-        return 1 if any(o.blocked for o in outcomes) else 0
+        return 1 if any(o.blocked or o.unmappable for o in outcomes) else 0
     batches = batches_of(args)
     if args.stage == "map":
         if not args.out:
@@ -78,9 +78,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             if rows is not None:
                 rows.write.mode("overwrite").parquet(f"{args.out}/{name}/{args.date}")
         return 0
-    if args.stage == "all":
-        outcome = run_range(lake, batches, cells(spark, args, db))
-        return 1 if outcome.blocked or outcome.missing else 0
+    if args.stage in ("all", "changed"):
+        run_hours = run_range if args.stage == "all" else run_changed
+        outcome = run_hours(lake, batches, cells(spark, args, db))
+        return 1 if outcome.blocked or outcome.missing or outcome.unmappable else 0
     if args.stage == "check":
         return 1 if lake.check(batches).blocked else 0
     if args.stage == "enrich":

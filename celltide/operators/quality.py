@@ -193,6 +193,25 @@ def _split_aggregates(domain: RadioDomain) -> list[Column]:
     ]
 
 
+def repeats(
+    df: DataFrame, keys: Sequence[str] = BATCH_KEYS, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """``keys, total_rows, repeated_rows``: rows of a batch that equal an earlier one in every column.
+
+    Rows are told apart by 128 bits of hash, nulls included. Each task counts
+    its rows per hash before anything is sent, so a row repeated a million
+    times is one row per task; hashes are spread evenly, and the second count
+    has one row per task and batch.
+    """
+    columns = [c for c in (columns or df.columns) if c not in keys]
+    marks = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])
+    hashes = [F.xxhash64(F.lit(seed), marks, *columns).alias(f"_h{seed}") for seed in (1, 2)]
+    each = df.select(*keys, *hashes).groupBy(*keys, "_h1", "_h2").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy(*keys).agg(
+        F.sum("n").alias("total_rows"), (F.sum("n") - F.count(F.lit(1))).alias("repeated_rows")
+    )
+
+
 def report(
     df: DataFrame,
     rules: Sequence[Rule] | None = None,

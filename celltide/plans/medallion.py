@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from celltide import schemas
 from celltide.functions.grid import Grid, HexGrid
 from celltide.operators import enrich as en
-from celltide.operators import kpi, quality, serve
+from celltide.operators import kpi, quality, serve, states
+from celltide.operators.digest import digests, reconciled
 from celltide.schemas import Batch, RadioDomain
 from celltide.sources import jdbc, landing
+from celltide.sources.compact import compact
 from celltide.sources.lake import LakeTable
+from celltide.sources.ledger import LEDGER, Ledger
 from celltide.sources.workspace import Workspace
 
 log = logging.getLogger(__name__)
@@ -41,16 +44,28 @@ class Settings:
     gate_percent: float = quality.GATE_PERCENT
     database: jdbc.Database | None = None
     connections: int = 8
+    #: keep mergeable states of the indicators beside gold
+    states: bool = False
+    #: count exact repeats of rows in the report's ``repeated_count``
+    count_repeats: bool = False
+    #: size of files that hours with many small ones are rewritten to; 0 leaves them
+    compact_bytes: int = 0
 
 
 @dataclass(frozen=True)
 class Outcome:
-    """Batches by fate: scored well enough, held back, without any row, or without a file."""
+    """Batches by fate: scored well enough, held back, without any row, or not processed.
+
+    Not processed are those without a file, with one whose columns cannot be
+    told, and, where only changes are asked for, those that have not changed.
+    """
 
     passed: list[Batch]
     blocked: list[Batch]
     empty: list[Batch]
     missing: list[Batch] = field(default_factory=list)
+    unmappable: list[Batch] = field(default_factory=list)
+    unchanged: list[Batch] = field(default_factory=list)
 
 
 class Lakehouse:
@@ -70,6 +85,8 @@ class Lakehouse:
         self.reports = table("silver/quality_report", schemas.REPORT)
         self.enriched = table("silver/mdt_enriched", schemas.ENRICHED)
         self.gold = table("gold/mdt_aggregated", schemas.GOLD)
+        self.states = table("gold/mdt_states", states.STATE)
+        self.ledger = Ledger(table("bronze/landing_files", LEDGER))
 
     def clean(self, batches: Sequence[Batch] | None = None) -> DataFrame:
         """Accepted rows."""
@@ -98,9 +115,11 @@ class Lakehouse:
         if raw is None:
             return Outcome([], [], list(batches))
         scores = quality.report(raw, domain=s.domain, null_policy=s.null_policy)
-        self.reports.replace(
-            scores.select(*schemas.REPORT.names), batches, rebalance=True
-        )
+        kept = list(schemas.REPORT.names)
+        if s.count_repeats:
+            counted = quality.repeats(raw).drop("total_rows").withColumnRenamed("repeated_rows", "repeated_count")
+            scores, kept = scores.join(counted, list(schemas.BATCH_KEYS)), [*kept, "repeated_count"]
+        self.reports.replace(scores.select(*kept), batches, rebalance=True)
         self.checked.replace(
             quality.with_verdict(raw, s.domain, s.null_policy).withColumn(
                 "processed_at", F.current_timestamp()
@@ -138,13 +157,17 @@ class Lakehouse:
             log.error("batch %s is below %.1f%%", b.key, self.settings.gate_percent)
         self.enriched.remove(batches)
         self.gold.remove(batches)
+        self.states.remove(batches)
+
+    def enrich(self, batches: Sequence[Batch], cell_info: DataFrame, admitted: bool = False) -> None:
+        """Clean rows of the hours above the gate, with grid cell, site and distance.
 
-    def enrich(self, batches: Sequence[Batch], cell_info: DataFrame) -> None:
-        """Clean rows of the hours above the gate, with grid cell, site and distance."""
+        ``admitted`` hours are known to be above it, so their reports are not read again.
+        """
         s = self.settings
         if not self.checked.exists():
             return
-        batches = self._admitted(batches)
+        batches = batches if admitted else self._admitted(batches)
         if not batches:
             return
         # staged once: a database would be read again by every job below
@@ -158,23 +181,65 @@ class Lakehouse:
         )
         self.workspace.clear()
 
-    def aggregate(self, batches: Sequence[Batch]) -> None:
+    def aggregate(self, batches: Sequence[Batch], admitted: bool = False) -> None:
         """Enriched rows of the hours above the gate to gold."""
         if not self.enriched.exists():
             return
-        batches = self._admitted(batches)
+        batches = batches if admitted else self._admitted(batches)
         if not batches:
             return
         enriched = self.enriched.scan(batches)
         rows = kpi.gold(enriched, self.settings.grid, self.settings.domain)
         self.gold.replace(rows.select(*schemas.GOLD.names), batches, rebalance=True)
 
-    def publish(self, batches: Sequence[Batch]) -> None:
+    def summarise(self, batches: Sequence[Batch], admitted: bool = False) -> None:
+        """Enriched rows of the hours above the gate to mergeable states, per hexagon and cell."""
+        if not self.enriched.exists():
+            return
+        batches = batches if admitted else self._admitted(batches)
+        if batches:
+            found = states.states(self.enriched.scan(batches))
+            self.states.replace(found.select(*states.STATE.names), batches, rebalance=True)
+
+    def roll_up(self, batches: Sequence[Batch], keys: Sequence[str] = ("date", "h3_index", "cell_id")) -> DataFrame:
+        """The indicators of coarser groups, from the stored states of some hours; measurements are not read."""
+        return states.indicators(states.merged(self.states.scan(batches), keys), self.settings.domain)
+
+    def reconcile(self, batches: Sequence[Batch]) -> DataFrame:
+        """``date, hour, step, rows_before, rows_after, equal``: whether every row has gone on, each as often.
+
+        Bronze against clean and quarantined rows together (with
+        ``null_policy="drop"``, bronze without the undecided ones), and clean
+        against enriched rows of hours above the gate. One pass over each
+        table, without a shuffle of rows.
+        """
+        s = self.settings
+        raw = self.bronze.scan(batches)
+        if s.null_policy == "drop":
+            raw = raw.filter(quality.acceptance(s.domain).isNotNull())
+        columns = [c for c in schemas.RAW.names if c not in schemas.BATCH_KEYS]
+        split = reconciled(raw, [self.clean(batches), self.quarantine(batches)], columns)
+        found = split.withColumn("step", F.lit("split"))
+        admitted = [b for b in batches if b not in set(self.blocked(batches))]
+        if admitted and self.enriched.exists():
+            columns = [c for c in schemas.LANDING.names]
+            onward = reconciled(self.clean(admitted), [self.enriched.scan(admitted)], columns)
+            found = found.unionByName(onward.withColumn("step", F.lit("enrich")))
+        return found.select(*schemas.BATCH_KEYS, "step", "rows_before", "rows_after", "equal")
+
+    def compact(self, batches: Sequence[Batch]) -> dict[str, int]:
+        """Rewrite hours of many small files in the tables written without a shuffle; hours rewritten, by table."""
+        target = self.settings.compact_bytes
+        tables = {"bronze": self.bronze, "checked": self.checked, "enriched": self.enriched}
+        return {n: len(compact(t, batches, target)) for n, t in tables.items() if target and t.exists()}
+
+    def publish(self, batches: Sequence[Batch], admitted: bool = False) -> None:
         """Gold and audit rows to the serving database; hours below the gate have no gold rows."""
         s = self.settings
         if s.database is None:
             raise ValueError("no database in the settings")
-        self._admitted(batches)
+        if not admitted:
+            self._admitted(batches)
         gold = self.gold.scan_if_present(batches)
         if gold is not None:
             rows = serve.spatial_rows(gold.select(*schemas.GOLD.names), s.grid)
@@ -198,17 +263,65 @@ def run_range(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -
     """Every stage over all batches.
 
     One bad hour does not hold up the others: blocked hours stop after the
-    quality stage, hours without a landing file are left as they are.
+    quality stage, hours without a landing file, or with one whose columns
+    cannot be told, are left as they are.
+    """
+    s = lake.settings
+    return _run_files(lake, landing.landing_files(lake.spark, s.landing, batches, s.file_name), batches, cell_info)
+
+
+def run_changed(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -> Outcome:
+    """Every stage over those batches whose landing files are new or were delivered again.
+
+    Files are known by length and time, so an hour as recorded costs its place
+    in the listing only. One whose files have another time but their old
+    length is read once and processed only if its rows differ from bronze.
     """
     s = lake.settings
-    arrived = landing.landed(lake.spark, s.landing, batches, s.file_name)
-    missing = [b for b in batches if b not in set(arrived)]
+    files = landing.landing_files(lake.spark, s.landing, batches, s.file_name)
+    changes = lake.ledger.compare(files)
+    same = _same_rows(lake, [f for f in files if f.batch in set(changes.touched)])
+    lake.ledger.record(files, same)
+    idle = sorted({*changes.unchanged, *same})
+    outcome = _run_files(
+        lake, [f for f in files if f.batch not in set(idle)], [b for b in batches if b not in set(idle)], cell_info
+    )
+    return replace(outcome, unchanged=idle)
+
+
+def _same_rows(lake: Lakehouse, files: Sequence[landing.LandingFile]) -> list[Batch]:
+    """Those hours whose files hold the rows that bronze has of them, by digest."""
+    found = landing.layout(lake.spark, files)
+    batches = found.batches()
+    stored = lake.bronze.scan_if_present(batches) if batches else None
+    if stored is None:
+        return []
+    columns = [c for c in schemas.RAW.names if c not in schemas.BATCH_KEYS]
+    delivered = digests(landing.read_layout(lake.spark, found, lake.settings.file_name), columns, name="delivered")
+    equal = delivered.join(digests(stored, columns), list(schemas.BATCH_KEYS)).where("delivered = digest").collect()
+    same = {(r.date, r.hour) for r in equal}  # a row per touched hour
+    return [b for b in batches if (b.date, b.hour) in same]
+
+
+def _run_files(
+    lake: Lakehouse, files: Sequence[landing.LandingFile], batches: Sequence[Batch], cell_info: DataFrame
+) -> Outcome:
+    """Every stage over the hours of some listed files, which are recorded once they are through."""
+    arrived = {f.batch for f in files}
+    missing = [b for b in batches if b not in arrived]
     for b in missing:
         log.error("batch %s has no landing file", b.key)
-    if not arrived:
-        return Outcome([], [], [], missing)
-    lake.ingest(arrived)
-    return replace(run_stored(lake, arrived, cell_info), missing=missing)
+    found = landing.layout(lake.spark, files)
+    for b, why in sorted(found.unmappable.items()):
+        log.error("batch %s is left as it is: %s", b.key, why)
+    unmappable = sorted(found.unmappable)
+    taken = [b for b in batches if b in arrived and b not in found.unmappable]
+    if not taken:
+        return Outcome([], [], [], missing, unmappable)
+    lake.store_raw(landing.read_layout(lake.spark, found, lake.settings.file_name), taken)
+    outcome = run_stored(lake, taken, cell_info)
+    lake.ledger.record(files, taken)
+    return replace(outcome, missing=missing, unmappable=unmappable)
 
 
 def run_stored(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame) -> Outcome:
@@ -223,10 +336,14 @@ def run_stored(lake: Lakehouse, batches: Sequence[Batch], cell_info: DataFrame)
         lake.withdraw(outcome.blocked)
     onward = [b for b in batches if b not in set(outcome.blocked)]
     if onward:
-        lake.enrich(onward, cell_info)
-        lake.aggregate(onward)
+        lake.enrich(onward, cell_info, admitted=True)
+        lake.aggregate(onward, admitted=True)
+        if lake.settings.states:
+            lake.summarise(onward, admitted=True)
+    if lake.settings.compact_bytes:
+        lake.compact(batches)
     if lake.settings.database is not None:
-        lake.publish(batches)
+        lake.publish(batches, admitted=True)
     return outcome
 
 
@@ -235,6 +352,8 @@ def run_batch(lake: Lakehouse, batch: Batch, cell_info: DataFrame) -> Outcome:
     outcome = run_range(lake, [batch], cell_info)
     if outcome.missing:
         raise FileNotFoundError(f"batch {batch.key} has no landing file")
+    if outcome.unmappable:
+        raise landing.UnmappableHeaderError({batch: "its columns cannot be told"})
     if outcome.blocked:
         raise quality.QualityGateError(
             f"batch {batch.key} is below {lake.settings.gate_percent:.1f}%"

@@ -232,6 +232,51 @@ ORACLES: dict[str, str] = {
          GROUP BY date, hour""",
         "mdt",
     ),
+    "src_csv_headers": _with(
+        """SELECT time_ms, p_cell_rsrp, p_cell_rsrq, lat, lng,
+           CAST(NULL AS VARCHAR) AS province_name, CAST(NULL AS VARCHAR) AS district_name, date_hour,
+           CASE WHEN CAST(hour AS INT) % 5 <> 2 THEN nullif(cell_id, '') END AS cell_id,
+           CAST(NULL AS VARCHAR) AS unreadable, date, hour,
+           CASE WHEN CAST(hour AS INT) % 5 = 3 THEN concat('op', CAST(event_id % 3 AS VARCHAR)) END AS operator
+         FROM mdt WHERE hour <> '23'""",
+        "mdt",
+    ),
+    "snk_compact": _with(
+        """SELECT date, hour, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS sum_event_id,
+           CAST(1 AS BIGINT) AS n_files FROM mdt GROUP BY date, hour""",
+        "mdt",
+    ),
+    "flt_box": _with(
+        """SELECT * FROM mdt WHERE lat BETWEEN 21.505e0 AND 21.521e0
+           AND lng BETWEEN 105.805e0 AND 105.832e0""",
+        "mdt",
+    ),
+    "dq_reconcile": _with(
+        """SELECT date, hour, count(*) AS rows_before,
+           CAST(count(*) - count(*) FILTER (WHERE event_id = 243) + count(*) FILTER (WHERE event_id = 245) AS BIGINT)
+             AS rows_after,
+           count(*) FILTER (WHERE event_id IN (243, 245, 247)) = 0 AS equal
+         FROM mdt GROUP BY date, hour""",
+        "mdt",
+    ),
+    "dq_repeats": _with(
+        """SELECT date, hour, CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n) - count(*) AS BIGINT) AS repeated_rows
+         FROM (SELECT m.*, count(*) AS n FROM (
+             SELECT * FROM mdt UNION ALL SELECT * FROM mdt WHERE event_id % 10 = 0
+             UNION ALL SELECT mdt.* FROM mdt, range(999) WHERE event_id = 31) m GROUP BY ALL)
+         GROUP BY date, hour""",
+        "mdt",
+    ),
+    "gold_day_from_hours": _with(
+        f"SELECT date, h3_index, cell_id, {_INDICATORS} FROM enriched GROUP BY date, h3_index, cell_id",
+        "enriched",
+    ),
+    "gold_hex_from_states": _with(
+        f"SELECT date, hour, h3_index, {_INDICATORS} FROM enriched GROUP BY date, hour, h3_index",
+        "enriched",
+    ),
+    "gold_p10_sketch": """SELECT o_orderpriority, count(o_totalprice) AS n, true AS within_error
+         FROM orders GROUP BY o_orderpriority""",
     "src_partition_scan": _with("SELECT * FROM mdt WHERE hour = '09'", "mdt"),
     "src_cell_sites": _with(
         "SELECT cell_code AS cell_id, x_ AS cell_lat, y_ AS cell_lon FROM cell_info", "cell_info"
@@ -402,3 +447,9 @@ sited AS (SELECT clean.*, x_""",
 }
 
 ORACLES["ops_stagewise_counts"] = ORACLES["ops_backfill_counts"]
+
+# two hours delivered anew, without every fifth row
+_RESTATED = ORACLES["ops_backfill_counts"].replace(
+    "FROM events", "FROM (SELECT * FROM events WHERE event_id % 24 NOT IN (3, 8) OR event_id % 5 <> 0)"
+)
+ORACLES["ops_restated_counts"] = f"SELECT *, hour IN ('03', '08') AS restated FROM ({_RESTATED})"

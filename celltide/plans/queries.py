@@ -11,11 +11,14 @@ from celltide import schemas
 from celltide.functions.geo import law_of_cosines_km
 from celltide.functions.grid import HexGrid
 from celltide.operators import enrich as en
-from celltide.operators import kpi, quality, serve
+from celltide.functions.morton import clustered, in_box
+from celltide.operators import kpi, quality, serve, sketches, states
+from celltide.operators.digest import reconciled
 from celltide.operators.joins import Lookup
-from celltide.plans.medallion import Lakehouse, Settings, run_range
+from celltide.plans.medallion import Lakehouse, Settings, run_changed, run_range
 from celltide.schemas import Batch
 from celltide.sources import landing
+from celltide.sources.compact import compact
 from celltide.sources.derived import DATE, cell_info, measurements
 from celltide.sources.lake import LakeTable
 from celltide.sources.workspace import Workspace
@@ -71,19 +74,25 @@ def _rounded_ends(df: DataFrame) -> DataFrame:
 def _land(spark: SparkSession, sf_dir: str, workspace: Workspace) -> tuple[str, str]:
     """Write the measurements as landing files, one directory per hour."""
     folder = workspace.path("landing")
+    _deliver(measurements(spark, sf_dir), folder)
+    return folder, "slot={date}-{hour}"
+
+
+def _deliver(rows: DataFrame, folder: str) -> None:
+    """Landing files of the rows' hours; those that were there are replaced."""
     columns = [
         F.col(f.name) if f.name not in ("province_name", "district_name")
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schemas.LANDING
     ]
     (
-        measurements(spark, sf_dir)
-        .select(*columns, F.concat_ws("-", "date", "hour").alias("slot"))
-        .write.partitionBy("slot")
+        rows.select(*columns, F.concat_ws("-", "date", "hour").alias("slot"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("slot")
         .option("header", True)
         .csv(folder)
     )
-    return folder, "slot={date}-{hour}"
 
 
 @registered
@@ -125,6 +134,42 @@ def src_csv_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _headed_lines(rows: DataFrame) -> tuple[list[str], DataFrame]:
+    """Headers of five kinds of files and one that lacks a needed column; lines with their ``kind``, by hour."""
+    names = [f.name for f in schemas.LANDING]
+    text = {n: F.coalesce(F.col(n).cast("string") if n in rows.columns else F.lit(""), F.lit("")) for n in names}
+    text["operator"] = F.concat(F.lit("op"), (F.col("event_id") % 3).cast("string"))
+    kinds = [
+        names,
+        names[::-1],
+        [n for n in names if n not in ("province_name", "district_name", "cell_id")],
+        ["operator", *names, ""],
+        [f" {n.upper()} " for n in names],
+        [n for n in names if n != "lat"],
+    ]
+    kind = F.when(F.col("hour") == "23", 5).otherwise(F.col("hour").cast("int") % 5)
+    line = F.lit(None)
+    for k, header in enumerate(kinds):
+        fields = [text.get(n.strip().lower(), F.lit("x")) for n in header]
+        line = F.when(kind == k, F.concat_ws(",", *fields)).otherwise(line)
+    return [",".join(h) for h in kinds], rows.select(line.alias("value"), F.concat_ws("-", "date", "hour").alias("slot"))
+
+
+@registered
+def src_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files whose columns are moved, missing, added or otherwise spelled; the file of 23 h cannot be mapped."""
+    headers, lines = _headed_lines(measurements(spark, sf_dir))
+    kinds = [(headers[5 if b.hour == "23" else int(b.hour) % 5], b.key) for b in DAY]
+    head = spark.createDataFrame(kinds, "value string, slot string")
+    whole = head.withColumn("first", F.lit(True)).unionByName(lines.withColumn("first", F.lit(False)))
+    ordered = whole.repartition("slot").sortWithinPartitions("slot", F.col("first").desc())
+    folder, name = Workspace(spark).path("landing"), "slot={date}-{hour}"
+    ordered.drop("first").write.partitionBy("slot").text(folder)
+    found = landing.layout(spark, landing.landing_files(spark, folder, DAY, name))
+    rows = landing.read_layout(spark, found, name, extra=True)
+    return rows.withColumn("operator", F.col("extra")["operator"]).drop("extra")
+
+
 def _measurement_table(spark: SparkSession, sf_dir: str) -> tuple[LakeTable, DataFrame]:
     rows = measurements(spark, sf_dir)
     table = LakeTable(spark, Workspace(spark).path("mdt"), rows.schema)
@@ -163,6 +208,21 @@ def snk_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.scan()
 
 
+@registered
+def snk_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written in many small files, and what its hours hold in how many files after compaction."""
+    rows = measurements(spark, sf_dir)
+    table = LakeTable(spark, Workspace(spark).path("scattered"), rows.schema)
+    table.replace(rows.repartition(6), DAY)
+    compact(table, DAY)
+    per_hour = table.scan().groupBy(*schemas.BATCH_KEYS)
+    return per_hour.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("event_id").alias("sum_event_id"),
+        F.count_distinct(F.col("_metadata.file_name")).alias("n_files"),
+    )
+
+
 @registered
 def publish_gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_ends(serve.spatial_rows(_gold(spark, sf_dir)))
@@ -215,6 +275,15 @@ def flt_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def flt_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements within a box, from a table laid out along the Morton curve."""
+    rows = measurements(spark, sf_dir)
+    table = LakeTable(spark, Workspace(spark).path("clustered"), rows.schema)
+    table.replace(clustered(rows, 2 * len(DAY)), DAY)
+    return table.scan().filter(in_box((21.505, 21.521), (105.805, 105.832)))
+
+
 # --- data quality ------------------------------------------------------------
 
 
@@ -273,6 +342,28 @@ def dq_generic_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rule_violations(orders, rules, ["o_orderstatus"])
 
 
+@registered
+def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements against their clean and rejected rows, of which one is lost, one repeated and one altered."""
+    rows = measurements(spark, sf_dir)
+    table = LakeTable(spark, Workspace(spark).path("split"), rows.schema, ("verdict",))
+    split = quality.with_verdict(rows).where("event_id != 243")
+    split = split.unionByName(split.where("event_id = 245"))
+    altered = F.when(F.col("event_id") == 247, F.lit("elsewhere")).otherwise(F.col("cell_id"))
+    table.replace(split.withColumn("cell_id", altered), DAY)
+    sides = [table.scan().where(F.col("verdict") == v).drop("verdict") for v in ("clean", "dirty")]
+    return reconciled(rows, sides, [c for c in rows.columns if c not in schemas.BATCH_KEYS])
+
+
+@registered
+def dq_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact repeats: every tenth measurement twice, and one a thousand times."""
+    rows = measurements(spark, sf_dir)
+    thousand = rows.where("event_id = 31").withColumn("_n", F.explode(F.sequence(F.lit(2), F.lit(1000)))).drop("_n")
+    more = rows.where("event_id % 10 = 0").unionByName(thousand)
+    return quality.repeats(rows.unionByName(more))
+
+
 # --- grid, sites, distance ---------------------------------------------------
 
 
@@ -409,6 +500,45 @@ def gold_by_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.by_cell(_enriched(spark, sf_dir))
 
 
+def _stored_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states of every hour, as a table that was written hour by hour."""
+    table = LakeTable(spark, Workspace(spark).path("states"), states.STATE)
+    table.replace(states.states(_enriched(spark, sf_dir)).select(*states.STATE.names), DAY, rebalance=True)
+    return table.scan(DAY)
+
+
+@registered
+def gold_day_from_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day's indicators, from the stored states of its hours."""
+    day = states.merged(_stored_states(spark, sf_dir), ("date", "h3_index", "cell_id"))
+    return states.indicators(day).drop("cell_lat", "cell_lon")
+
+
+@registered
+def gold_hex_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hexagons' indicators, from the stored states of hexagons and cells."""
+    hexes = states.merged(_stored_states(spark, sf_dir), (*schemas.BATCH_KEYS, "h3_index"))
+    return states.indicators(hexes).drop("cell_lat", "cell_lon")
+
+
+@registered
+def gold_p10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tenth percentile of order prices from merged sketches: whether its true rank is within the stated error."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    price = F.col("o_totalprice").cast("double")
+    parts = sketches.sketches(orders, ["o_orderpriority", "o_orderstatus"], "o_totalprice")
+    found = sketches.merged(parts, ["o_orderpriority"]).select("o_orderpriority", "n", sketches.quantile(0.1, "p10"))
+    ranked = orders.select("o_orderpriority", price.alias("price")).join(found, "o_orderpriority")
+    shares = ranked.groupBy("o_orderpriority").agg(
+        F.max("n").alias("n"),
+        F.avg(F.when(F.col("price") < F.col("p10"), 1.0).otherwise(0.0)).alias("below"),
+        F.avg(F.when(F.col("price") <= F.col("p10"), 1.0).otherwise(0.0)).alias("up_to"),
+    )
+    error = 2 * sketches.rank_error()  # twice the bound of 99 %, so that chance does not decide
+    within = (F.col("below") <= 0.1 + error) & (F.col("up_to") >= 0.1 - error)
+    return shares.select("o_orderpriority", "n", within.alias("within_error"))
+
+
 # --- serving and whole runs --------------------------------------------------
 
 
@@ -472,3 +602,15 @@ def ops_stagewise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.enrich(DAY, cell_info(spark, sf_dir))
     lake.aggregate(DAY)
     return _hours_came_to(lake)
+
+
+@registered
+def ops_restated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day run, two of its hours delivered anew, and the day run again: what changed hours came to."""
+    lake = _landed_lake(spark, sf_dir)
+    cells = cell_info(spark, sf_dir)
+    run_changed(lake, DAY, cells)
+    _deliver(measurements(spark, sf_dir).where("hour IN ('03', '08') AND event_id % 5 != 0"), lake.settings.landing)
+    again = run_changed(lake, DAY, cells)
+    idle = [b.hour for b in again.unchanged]
+    return _hours_came_to(lake).withColumn("restated", ~F.col("hour").isin(idle))

@@ -135,6 +135,27 @@ class LakeTable:
             if names & after.get(values, set()):
                 self._delete(values)
 
+    def rewrite(self, rows: DataFrame, partitions: Sequence[tuple[str, ...]]) -> None:
+        """Write partitions of a Parquet table anew from its own rows, as they are dealt into tasks.
+
+        ``rows`` may be read from the table: a partition's files are exchanged
+        when all of them have been written.
+        """
+        wanted = {values[-2:] for values in partitions}
+        stray = ~in_batches([Batch(*hour) for hour in wanted])
+        told = F.raise_error(F.concat(F.lit("row outside the hours to rewrite: "), batch_key()))
+        (
+            rows.filter(F.when(stray, told.cast("boolean")).otherwise(F.lit(True)))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*self.partitions)
+            .parquet(self.root)
+        )
+
+    def file_sizes(self, batches: Sequence[Batch]) -> dict[tuple[str, ...], dict[str, int]]:
+        """Bytes of each file, by partition: one listing per day."""
+        return {values: dict(files) for values, files in self._listed(batches).items()}
+
     def remove(self, batches: Sequence[Batch]) -> None:
         """Empty some batches; a table that was never written stays so."""
         if self.fmt == "delta":
@@ -157,8 +178,11 @@ class LakeTable:
         stored = self.stored_schema()
         known = {f.name: f for f in stored}
         for f in written:
-            if f.name in known and known[f.name].dataType != f.dataType:
-                was, now = known[f.name].dataType.simpleString(), f.dataType.simpleString()
+            if f.name not in known:
+                continue
+            # by name: whether nested values may be null is no change
+            was, now = known[f.name].dataType.simpleString(), f.dataType.simpleString()
+            if was != now:
                 raise ValueError(f"column {f.name} of {self.root} is {was} and would become {now}")
         added = [T.StructField(f.name, f.dataType) for f in written if f.name not in known]
         if not added:
@@ -176,8 +200,11 @@ class LakeTable:
 
     def _files(self, batches: Sequence[Batch]) -> dict[tuple[str, ...], set[str]]:
         """File names by partition on disk, among the requested ones: one listing per day."""
+        return {values: set(files) for values, files in self._listed(batches).items()}
+
+    def _listed(self, batches: Sequence[Batch]) -> dict[tuple[str, ...], dict[str, int]]:
         wanted = {(b.date, b.hour) for b in batches}
-        found: dict[tuple[str, ...], set[str]] = {}
+        found: dict[tuple[str, ...], dict[str, int]] = {}
         upper = "/*" * len(self.leading)
         for date in sorted({b.date for b in batches}):
             fs, pattern = hadoop_path(self.spark, f"{self.root}{upper}/date={date}/hour=*/*")
@@ -185,5 +212,5 @@ class LakeTable:
                 *_, name = parts = status.getPath().toString().split("/")
                 values = tuple(p.split("=", 1)[1] for p in parts[-len(self.partitions) - 1 : -1])
                 if values[-2:] in wanted:
-                    found.setdefault(values, set()).add(name)
+                    found.setdefault(values, {})[name] = status.getLen()
         return found

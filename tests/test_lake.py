@@ -165,7 +165,7 @@ def test_landing_files_of_many_hours(spark, tmp_path):
     assert [f.dataType for f in both.schema] == [f.dataType for f in schemas.RAW]
     assert _hours(both) == ["09", "09", "10", "10"]
     assert as_set(landing.read_landing(spark, folder, [TEN])) == as_set(both.filter("hour = '10'"))
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileNotFoundError, match="2026-05-05-08"):
         landing.read_landing(spark, folder, [NINE, EIGHT])
     land(folder, Batch("2026-05-06", "09"), [])
     open(f"{folder}/mdt_records_2026-05-05-xx.csv", "w").close()
@@ -174,16 +174,12 @@ def test_landing_files_of_many_hours(spark, tmp_path):
         landing.batch_of_file("{date}-{hour}.csv")
 
 
-def test_malformed_numbers_are_null_and_swapped_headers_an_error(spark, tmp_path):
+def test_malformed_numbers_are_null(spark, tmp_path):
     folder = str(tmp_path / "landing")
     land(folder, NINE, [measurement(p_cell_rsrp="n/a", lat="north", cell_id=None)])
     row = landing.read_landing(spark, folder, [NINE]).first()
     assert (row.p_cell_rsrp, row.lat, row.cell_id, row.lng) == (None, None, None, 105.84)
     assert "north" in row.unreadable
-    names = [f.name for f in schemas.LANDING]
-    land(folder, TEN, [measurement()], header=names[::-1])
-    with pytest.raises(Exception, match="(?i)header"):
-        landing.read_landing(spark, folder, [TEN]).collect()
 
 
 def test_decimals_and_rows_that_do_not_fit(spark, tmp_path):

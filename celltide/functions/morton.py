@@ -35,15 +35,13 @@ def morton(lat: Column, lng: Column, domain: RadioDomain = RadioDomain()) -> Col
 def clustered(df: DataFrame, files: int, domain: RadioDomain = RadioDomain()) -> DataFrame:
     """Rows range-partitioned along the curve within their hour, and sorted so within each task.
 
-    ``files`` is the number of tasks over all hours. Positions that many rows
-    share are split among tasks by a hash of the row's time and cell.
+    ``files`` is the number of tasks over all hours. A position that many rows
+    share is split among tasks by the rows' numbers: apply it to a scan, whose
+    rows have the same numbers when a task runs again.
     """
-    key = morton(F.col("lat"), F.col("lng"), domain)
-    spread = [F.xxhash64(*[c for c in ("time_ms", "cell_id") if c in df.columns])]
-    order = [*BATCH_KEYS, "_key", "_spread"]
-    sorted_rows = df.withColumn("_key", key).withColumn("_spread", spread[0])
-    sorted_rows = sorted_rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    return sorted_rows.drop("_key", "_spread")
+    order = [*BATCH_KEYS, "_key", "_row"]
+    keyed = df.withColumns({"_key": morton(F.col("lat"), F.col("lng"), domain), "_row": F.monotonically_increasing_id()})
+    return keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_key", "_row")
 
 
 def in_box(lat: tuple[float, float], lng: tuple[float, float]) -> Column:

@@ -176,8 +176,24 @@ def _binned_counts(rows: DataFrame) -> tuple[list, int, int]:
     return found, sum(r.p for r in found if r.feature == first), sum(r.n for r in found if r.feature == first)
 
 
-def _best_threshold(rows: DataFrame, min_cover: int) -> tuple[Threshold, int, int] | None:
-    """The threshold with the largest information gain on ``rows``, and what it covers.
+def evidence(p: int, n: int, p0: int, n0: int) -> float:
+    """Twice the log-likelihood ratio of a rule that covers p of p0 rejected and n of n0 accepted rows against chance."""
+    cells = ((p, p + n, p0), (n, p + n, n0), (p0 - p, p0 + n0 - p - n, p0), (n0 - n, p0 + n0 - p - n, n0))
+    return 2 * sum(x * math.log(x * (p0 + n0) / (row * side)) for x, row, side in cells if x)
+
+
+def chance(conditions: int, rows: int) -> float:
+    """The evidence that the best of all rules with so many conditions may have by chance among ``rows`` rows.
+
+    It rises with the thresholds that were open to choice and with the rows,
+    so that labels without a pattern end the learning at every size.
+    """
+    thresholds = 2 * sum(map(len, GRIDS.values()))
+    return 2 * conditions * math.log(thresholds) + math.log(max(rows, 1))
+
+
+def _best_threshold(rows: DataFrame, min_cover: int) -> tuple[Threshold, int, int, int, int] | None:
+    """The threshold with the largest information gain on ``rows``, what it covers, and the rejected and accepted rows.
 
     Of neighbouring thresholds that cover the same rows, the middle one: it
     keeps its distance from both sides.
@@ -200,7 +216,7 @@ def _best_threshold(rows: DataFrame, min_cover: int) -> tuple[Threshold, int, in
                 gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
                 if gain > best_gain + 1e-9:
                     middle = thresholds[len(thresholds) // 2]
-                    best, best_gain = (Threshold(name, above, middle), p, n), gain
+                    best, best_gain = (Threshold(name, above, middle), p, n, p0, n0), gain
     return best
 
 
@@ -227,7 +243,8 @@ def learn(
     that is less precise than ``min_precision`` on fold 2, or covers no
     rejected row there, is not kept: its rows are set aside and growing goes on
     with the others. The list ends when no rule covers ``min_cover`` rejected
-    rows any more, or at ``max_rules`` if given. One class only, or no rows,
+    rows any more, when the best one is no better than chance on the rows left
+    (see ``chance``), or at ``max_rules`` if given. One class only, or no rows,
     gives no rules. ``labelled`` is scanned once per condition tried: it should
     be a written table.
     """
@@ -235,16 +252,17 @@ def learn(
     rules: list[Rule] = []
     while max_rules is None or len(rules) < max_rules:
         grown: Rule = ()
-        rows = grow
+        rows, covered, base = grow, (0, 0), (0, 0)
         while len(grown) < max_conditions:
             found = _best_threshold(rows, min_cover)
             if found is None:
                 break
+            base, covered = base if grown else found[3:], found[1:3]
             grown += (found[0],)
             rows = rows.where(found[0].column())
             if not found[2]:
                 break
-        if not grown:
+        if not grown or evidence(*covered, *base) < chance(len(grown), sum(base)):
             break
         rule, right, wrong = _pruned(grown, prune)
         if not right or right < min_precision * (right + wrong):

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -73,6 +74,32 @@ def test_learning_goes_on_after_a_rule_that_fails(spark):
     assert [t.feature for rule in rules for t in rule] == ["digit_share"]
 
 
+@pytest.mark.parametrize("rows", [330, 3000])
+def test_labels_without_a_pattern_end_the_learning(spark, monkeypatch, rows):
+    r = random.Random(rows)
+    plain = [({name: r.choice(grid) for name, grid in quality.GRIDS.items()}, r.random() < 0.1, i % 3) for i in range(rows)]
+    frame = spark.createDataFrame([(*v.values(), reject, fold) for v, reject, fold in plain], [*quality.GRIDS, "reject", "fold"])
+    scans = []
+    before = quality._binned_counts
+    monkeypatch.setattr(quality, "_binned_counts", lambda df: scans.append(1) or before(df))
+    assert quality.learn(frame.cache()) == []
+    assert len(scans) <= 8
+
+
+def test_a_small_kind_is_found_among_many_rows(spark):
+    r = random.Random(3)
+    low = {name: grid[len(grid) // 2] for name, grid in quality.GRIDS.items()}
+    rows = [(low | {"digit_share": 0.25 * r.random()}, False, i % 3) for i in range(3000)]
+    rows += [(low | {"digit_share": 0.65}, True, i % 3) for i in range(18)]
+    frame = spark.createDataFrame([(*v.values(), reject, fold) for v, reject, fold in rows], [*quality.GRIDS, "reject", "fold"])
+    assert [t.feature for rule in quality.learn(frame.cache()) for t in rule] == ["digit_share"]
+
+
+def test_evidence_is_that_of_a_two_by_two_table():
+    assert quality.evidence(10, 90, 100, 900) == pytest.approx(0)
+    assert quality.evidence(20, 0, 20, 380) == pytest.approx(2 * (20 * math.log(20) + 380 * math.log(400 / 380)))
+
+
 def test_edge_cases_have_a_verdict(spark):
     docs = frame(spark).withColumnsRenamed({"lang": "N_Words", "source": "kept"})
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

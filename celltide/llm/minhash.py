@@ -6,8 +6,8 @@ batch it is dropped if the posterior chance that it is similar enough is below
 the chosen miss probability. What survives is verified on the full sets.
 
 Not all pairs of a bucket are looked at. First every node is compared with the
-most central node it shares a bucket with, one pair per node. Pairs within a
-component then found need no look. The rest of a small bucket is compared
+most central node it shares a bucket with, one pair per node. These links form
+trees; pairs within a tree need no look. The rest of a small bucket is compared
 inside a task, which survivors leave as pairs. Large buckets that share nodes
 are one cluster, compared in pairs of blocks and verified inside tasks, which
 only links that join something leave. Neither way drops a candidate.
@@ -16,7 +16,7 @@ only links that join something leave. Neither way drops a candidate.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltide.llm.common import as_key, table
-from celltide.llm.components import components
+from celltide.llm.components import components, spread_join
 from celltide.llm.shingles import MinHasher, Shingler, mixed
 from celltide.sources.workspace import Workspace
 
@@ -37,6 +37,8 @@ BATCH = 40
 SIMILARITY = 0.75
 MISS = 1e-5
 BLOCK = 256
+#: The pairs of one central node are dealt into so many shares.
+SHARES = 1024
 
 
 @lru_cache
@@ -165,18 +167,66 @@ def _with(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
-def _pruned(pairs: DataFrame, nodes: DataFrame, miss: float) -> DataFrame:
-    """The pairs that survive the comparison of signatures."""
+Kept = Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]
+
+
+def _stars(pairs: DataFrame, nodes: DataFrame, column: str, kept: Kept) -> DataFrame:
+    """The pairs ``a, b`` that are kept by their nodes' ``column``, where many may share their ``b``.
+
+    The pairs of a centre ``b`` are dealt into shares, and a share gets the
+    centre's value once, ahead of the others; so no task takes a whole centre
+    and no value is written into every pair.
+    """
+    dealt = pairs.withColumn("share", F.pmod(F.xxhash64("a"), F.lit(SHARES)))
+    value = F.col(column).alias("value")
+    centres = dealt.select("b", "share").distinct().join(nodes.select(F.col("node").alias("b"), value), "b")
+    others = dealt.join(nodes.select(F.col("node").alias("a"), value), "a")
+    columns = ("b", "share", "a", "value")
+    together = others.select(*columns).unionByName(centres.withColumn("a", F.lit(None).cast("bigint")).select(*columns))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre: pa.RecordBatch | None = None
+        for rows in _slices(batches, 1024):
+            rows = rows if centre is None else pa.concat_batches([centre, rows])
+            is_centre = _column(rows, "a").is_null().to_numpy(zero_copy_only=False)
+            centre_of = np.maximum.accumulate(np.where(is_centre, np.arange(len(is_centre)), -1))
+            centre = rows.slice(int(centre_of[-1]), 1)
+            of = np.flatnonzero(~is_centre)
+            found = pa.array(of[kept(_column(rows, "value").to_pylist(), of, centre_of[of])])
+            yield pa.RecordBatch.from_pydict({c: _column(rows, c).take(found) for c in ("a", "b")})
+
+    by = ("b", "share")
+    dealt = together.repartition(*by).sortWithinPartitions(*by, F.col("a").asc_nulls_first())
+    return dealt.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _by_signature(miss: float) -> Kept:
     least = least_matches(miss)
 
-    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _slices(batches, 4096):
-            left, right = (_matrix(_column(rows, c), np.uint32, SIZE) for c in ("left", "right"))
-            every = np.arange(rows.num_rows)
-            kept = pa.array(_surviving(left, right, every, every, least))
-            yield pa.RecordBatch.from_pydict({c: _column(rows, c).take(kept) for c in ("a", "b")})
+    def kept(values: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        table = np.frombuffer(b"".join(values), np.uint32).reshape(-1, SIZE)
+        return _surviving(table, table, left, right, least)
+
+    return kept
+
+
+def _by_set(values: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    sets = [np.frombuffer(v, np.uint64) for v in values]
+    return np.flatnonzero([_similar(sets[i], sets[j]) for i, j in zip(left, right, strict=True)])
+
 
-    return _with(pairs, nodes, "signature").mapInArrow(prune, "a bigint, b bigint")
+def _roots(links: DataFrame, workspace: Workspace) -> DataFrame:
+    """``a, root`` for links ``a, b`` that form trees, each ``a`` below one ``b``: pointers doubled until they stand."""
+    up = links.select("a", F.col("b").alias("root"))
+    while True:
+        counts = workspace.stage(up.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "counts")
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        over = up.select(F.col("a").alias("root"), F.col("root").alias("above"))
+        found = spread_join(up, over, counts, "root", F.col("a"), total, "left")  # a root may be that of many
+        found = workspace.stage(found.select("a", F.coalesce("above", "root").alias("root"), "above"), "roots")
+        if found.where("above IS NOT NULL").isEmpty():
+            return found.select("a", "root")
+        up = found.select("a", "root")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +259,7 @@ def _candidates(rows: pa.RecordBatch, open_pairs: np.ndarray | None, least: tupl
 
 
 def _pairs_of_buckets(members: DataFrame, known: DataFrame, miss: float) -> DataFrame:
-    """Surviving pairs ``a, b`` within buckets of at most ``BLOCK`` nodes.
+    """Surviving pairs ``a, b`` within buckets of at most ``BLOCK`` nodes, with their components.
 
     ``members`` has ``bucket, node, component, cluster``; pairs within one
     cluster are left to ``_links_of_clusters``.
@@ -220,16 +270,18 @@ def _pairs_of_buckets(members: DataFrame, known: DataFrame, miss: float) -> Data
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, ("bucket",)):
-            node, cluster = (_column(rows, c).to_numpy() for c in ("node", "cluster"))
+            node, cluster, component = (_column(rows, c).to_numpy() for c in ("node", "cluster", "component"))
             a, b = _candidates(rows, cluster[:, None] != cluster[None, :], least)
-            yield pa.RecordBatch.from_pydict({"a": node[a], "b": node[b]})
+            a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
+            ends = {"a": node[a], "b": node[b], "of_a": component[a], "of_b": component[b]}
+            yield pa.RecordBatch.from_pydict(ends)
 
-    found = grouped.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "a bigint, b bigint")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = "a bigint, b bigint, of_a bigint, of_b bigint"
+    return grouped.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, ends).distinct()
 
 
 def _links_of_clusters(clusters: DataFrame, known: DataFrame, sets: DataFrame, miss: float) -> DataFrame:
-    """Verified links ``a, b`` within clusters, as many as it takes to join what is linked.
+    """Components ``a, b`` of verified links within clusters, as many as it takes to join what is linked.
 
     ``clusters`` has ``cluster, node, component, blocks``. A cluster is
     compared as pairs of blocks, each pair a group of at most two blocks' rows
@@ -249,14 +301,14 @@ def _links_of_clusters(clusters: DataFrame, known: DataFrame, sets: DataFrame, m
         .join(sets, "node")
         .withColumn("block", own)
         .withColumn("pair", F.explode(others))
-        .select("cluster", "pair.lo", "pair.hi", "block", "node", "component", "n_shingles", "signature", "hashes")
+        .select("cluster", "pair.lo", "pair.hi", "block", "component", "n_shingles", "signature", "hashes")
         .repartition(*by)
         .sortWithinPartitions(*by)
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, by):
-            node, component, block, lo, hi = (_column(rows, c).to_numpy() for c in ("node", "component", "block", "lo", "hi"))
+            component, block, lo, hi = (_column(rows, c).to_numpy() for c in ("component", "block", "lo", "hi"))
             across = (block[:, None] != block[None, :]) | (lo[0] == hi[0])
             a, b = _candidates(rows, across, least)
             signature = _matrix(_column(rows, "signature"), np.uint32, SIZE)
@@ -275,7 +327,7 @@ def _links_of_clusters(clusters: DataFrame, known: DataFrame, sets: DataFrame, m
                 left, right = root(int(component[i])), root(int(component[j]))
                 if left != right and _similar(hashes[i], hashes[j]):
                     joined[left] = right
-                    links.append((node[i], node[j]))
+                    links.append((component[i], component[j]))
             ends = np.array(links, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_pydict({"a": ends[:, 0], "b": ends[:, 1]})
 
@@ -304,14 +356,14 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+    """The components ``a, b`` of the pairs whose full sets are similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _slices(batches):
             ends = zip(_column(rows, "left").to_pylist(), _column(rows, "right").to_pylist(), strict=True)
             good = [_similar(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)) for left, right in ends]
             mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_pydict({c: _column(rows, c).filter(mask) for c in ("a", "b")})
+            yield pa.RecordBatch.from_pydict({c: _column(rows, f"of_{c}").filter(mask) for c in ("a", "b")})
 
     return _with(pairs, sets, "hashes").mapInArrow(verify, "a bigint, b bigint")
 
@@ -342,9 +394,10 @@ def mark(docs: DataFrame, key: str = "doc_id", text: str = "text", miss: float =
     sets = workspace.stage(_full_sets(docs, nodes.join(met, "node").select("node", "row_key"), key, text), "sets")
     known = workspace.stage(nodes.join(met, "node").select("node", "n_shingles", "signature"), "known")
 
-    central = _pruned(_central(members, sizes), known, miss)
-    links = workspace.stage(_verified(central, sets), "links")
-    found = components(links, workspace)
+    central = _stars(_central(members, sizes), known, "signature", _by_signature(miss))
+    links = workspace.stage(_stars(workspace.stage(central, "central"), sets, "hashes", _by_set), "links")
+    roots = _roots(links, workspace)
+    found = roots.select(F.col("a").alias("node"), F.col("root").alias("component"))
 
     component = F.coalesce("component", "node")
     placed = members.join(found, "node", "left").select("bucket", "node", component.alias("component"))
@@ -363,7 +416,7 @@ def mark(docs: DataFrame, key: str = "doc_id", text: str = "text", miss: float =
     small = placed.join(opened.where(F.col("size") <= BLOCK).select("bucket"), "bucket")
     small = small.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
     rest = workspace.stage(_pairs_of_buckets(small, known, miss), "rest")
-    links = [links, _verified(rest, sets)]
+    links = [_verified(rest, sets)]
     if not clusters.isEmpty():
         blocks = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
         within = clusters.join(clusters.groupBy("cluster").agg(blocks), "cluster").join(found, "node", "left")
@@ -371,9 +424,10 @@ def mark(docs: DataFrame, key: str = "doc_id", text: str = "text", miss: float =
         links.append(_links_of_clusters(within, known, sets, miss))
     links = workspace.stage(reduce(DataFrame.unionByName, links), "links")
 
-    found = workspace.stage(components(links, workspace), "components")
-    root = F.coalesce("component", "node")
-    rooted = workspace.stage(nodes.join(found, "node", "left").select("same", root.alias("node"), "least"), "rooted")
+    joined = workspace.stage(components(links, workspace), "components")
+    rooted = nodes.join(found, "node", "left").select("same", component.alias("node"), "least")
+    rooted = rooted.join(joined, "node", "left").select("same", component.alias("node"), "least")
+    rooted = workspace.stage(rooted, "rooted")
     ids = rooted.groupBy("node").agg(F.min("least").alias("component_id"))
     ids = workspace.stage(rooted.join(ids, "node").select("same", "node", "component_id"), "ids")
     own = F.when(F.col("same").isNull(), F.col(key)).otherwise(F.col("component_id"))

@@ -18,6 +18,8 @@ from celltide.llm.common import let, salted_join, table, without
 from celltide.sources.workspace import Workspace
 
 BLOCK = 4096
+#: Turns of one row of chat text.
+TURNS_PER_ROW = 256
 MAX_ROUNDS = 60
 #: Words of a unit. Fewer words in common are no evidence of a quotation.
 UNIT = 5
@@ -222,11 +224,11 @@ def _threads(nodes: DataFrame, workspace: Workspace) -> DataFrame:
     return found.withColumnRenamed("to", "thread_turn")
 
 
-def link(messages: DataFrame) -> DataFrame:
+def link(messages: DataFrame, ordered: bool = True) -> DataFrame:
     """Every row with ``parent_turn, thread_turn, n_quoted, n_linked, body``, in reply order.
 
-    Rows are sorted by conversation, thread and turn: within a thread each
-    message answers the one before. ``body`` is the text without quotes.
+    Rows are sorted by conversation, thread and turn, unless ``ordered`` is
+    false: within a thread each message answers the one before. ``body`` is the text without quotes.
     ``n_quoted`` counts different quoted passages, ``n_linked`` those whose
     source was found. Rows with one ``conv_id`` and ``turn`` are one position:
     their quotes are pooled and all get the same links. Rows without
@@ -241,15 +243,17 @@ def link(messages: DataFrame) -> DataFrame:
     nodes = _parents(placed.select("conv_id", "turn").distinct(), links)
     threads = workspace.stage(_threads(nodes, workspace), "threads")
     counts = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("n_quoted", "n_linked")}
-    return (
-        rows.join(threads, ["conv_id", "turn"], "left")
-        .withColumns({**counts, "body": unquoted(F.col("text"))})
-        .select(*rows.columns, *ADDED)
-        .orderBy("conv_id", "thread_turn", "turn")
-    )
+    found = rows.join(threads, ["conv_id", "turn"], "left").withColumns({**counts, "body": unquoted(F.col("text"))})
+    found = found.select(*rows.columns, *ADDED)
+    return found.orderBy("conv_id", "thread_turn", "turn") if ordered else found
+
+
+def part_of(turns_per_row: int = TURNS_PER_ROW) -> Column:
+    """The part of a thread's chat text that a message is in."""
+    return F.floor(F.col("turn") / turns_per_row)
 
 
-def conversations(linked: DataFrame, turns_per_row: int = 256) -> DataFrame:
+def conversations(linked: DataFrame, turns_per_row: int = TURNS_PER_ROW) -> DataFrame:
     """Threads as chat text: ``conv_id, thread_turn, part, chat``, messages as ``<|role|>`` and body.
 
     A part holds the turns of one stretch of ``turns_per_row``, so that a very
@@ -259,7 +263,7 @@ def conversations(linked: DataFrame, turns_per_row: int = 256) -> DataFrame:
     role = F.coalesce(F.col("role"), F.lit("unknown"))
     message = F.concat(F.lit("<|"), role, F.lit("|>\n"), F.col("body"), F.lit("\n"))
     placed = linked.where("thread_turn IS NOT NULL").select(
-        "conv_id", "thread_turn", F.floor(F.col("turn") / turns_per_row).alias("part"), "turn", message.alias("message")
+        "conv_id", "thread_turn", part_of(turns_per_row).alias("part"), "turn", message.alias("message")
     )
     listed = placed.distinct().groupBy("conv_id", "thread_turn", "part")
     ordered = F.array_sort(F.collect_list(F.struct("turn", "message")))
@@ -295,19 +299,25 @@ def derived_replies(messages: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages in reply order, without quotes, and what became of the derived replies that quote them.
+    """All messages in reply order, without quotes, what became of the derived replies, and the chat text of each thread.
 
-    The given conversations hold no quotes. The derived replies follow each
+    ``chat_part`` and ``chat_md5`` tell the part of its thread's chat text that
+    a message is written in; derived replies are written there too. The given conversations hold no quotes. The derived replies follow each
     conversation, so links and threads of its given rows are the same without them.
     """
     messages = table(spark, sf_dir, "conversations")
     both = messages.unionByName(derived_replies(messages), allowMissingColumns=True)
-    linked = Workspace(spark).stage(link(both), "linked")
+    workspace = Workspace(spark)
+    linked = workspace.stage(link(both, ordered=False), "linked")
+    chats = workspace.stage(conversations(linked), "chats")
+    chats = chats.select("conv_id", "thread_turn", F.col("part").alias("chat_part"), F.md5("chat").alias("chat_md5"))
     names = ("turn", "parent_turn", "thread_turn", "n_quoted", "n_linked")
     replies = linked.where("quotes_turn IS NOT NULL").select(
         "conv_id", F.col("quotes_turn").alias("_turn"), *[F.col(c).alias(f"reply_{c}") for c in names]
     )
     replies = replies.withColumnRenamed("_turn", "turn")
     given = linked.where("quotes_turn IS NULL").drop("quotes_turn")
-    found = given.join(replies, ["conv_id", "turn"], "left")
-    return found.select(*given.columns, *[f"reply_{c}" for c in names]).orderBy("conv_id", "thread_turn", "turn")
+    found = given.join(replies, ["conv_id", "turn"], "left").withColumn("chat_part", part_of())
+    found = found.join(chats, ["conv_id", "thread_turn", "chat_part"], "left")
+    columns = [*given.columns, *[f"reply_{c}" for c in names], "chat_part", "chat_md5"]
+    return found.select(*columns).orderBy("conv_id", "thread_turn", "turn")

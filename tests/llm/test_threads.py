@@ -1,3 +1,4 @@
+import hashlib
 import os
 import random
 import re
@@ -158,6 +159,23 @@ def test_registered_query_links_derived_quotes(spark):
     assert any(r.reply_n_quoted > 1 for r in replies) and any(r.reply_thread_turn == r.reply_turn for r in replies)
 
 
+def test_registered_query_tells_the_chat_text(spark):
+    rows = threads.query(spark, SF_DIR).collect()
+    texts: dict[tuple, dict] = {}
+    for r in rows:
+        place = r.conv_id, r.thread_turn, r.turn // threads.TURNS_PER_ROW
+        assert r.chat_part == place[2]
+        texts.setdefault(place, {})[r.turn, r.reply_turn] = r
+    checked = 0
+    for messages in texts.values():
+        found = {r.chat_md5 for r in messages.values()}
+        assert len(found) == 1 and None not in found  # one text for all of a part
+        ordered = [f"<|{r.role}|>\n{r.body}\n" for _, r in sorted(messages.items())]
+        if not any(r.reply_thread_turn == r.thread_turn for r in messages.values()):  # no derived reply is written in it
+            checked += found == {hashlib.md5("".join(ordered).encode()).hexdigest()}
+    assert checked > 0.5 * len(texts)
+
+
 def test_edge_cases(spark):
     long = "\n".join(f"> line {i}\n\nanswer {i}" for i in range(5000))
     rows = [(None, 1, "u", "> a\nb"), (3, None, "u", None), (3, 1, None, ""), (3, 1, None, ""), (3, 2, "u", long), (3, -5, "u", "\x01\x02> q")]

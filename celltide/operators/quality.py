@@ -255,6 +255,16 @@ def gate(report_df: DataFrame, threshold: float = GATE_PERCENT) -> DataFrame:
     )
 
 
+def report_lines(report_df: DataFrame) -> DataFrame:
+    """``date, hour, line``: what the console says of each report, as one text."""
+    counts = ("total_raw_records", "clean_count", "dirty_count", "undecided_count", "unreadable_count")
+    line = F.format_string(
+        "%s %s: %d rows, %d clean, %d quarantined, %d undecided, %d unreadable, score %.2f%% (%d of %d rules failed)",
+        *BATCH_KEYS, *counts, "gx_success_rate", "gx_failed_rules", "gx_total_rules",
+    )
+    return report_df.select(*BATCH_KEYS, line.alias("line"))
+
+
 def log_report(rows: Iterable[Row], threshold: float = GATE_PERCENT) -> None:
     for r in rows:
         log.info(

@@ -106,3 +106,10 @@ def indicators(stored: DataFrame, domain: RadioDomain = RadioDomain()) -> DataFr
         F.round(F.try_divide("km_sum", F.col("km_n").cast("double")), 2).alias("avg_distance_km"),
         F.round(weak.cast("double") / F.col("samples").cast("double"), 4).alias("weak_signal_ratio"),
     )
+
+
+def extremes(stored: DataFrame) -> DataFrame:
+    """Adds the weakest and strongest signal of each state: the ends of its sorted list, null without signals."""
+    return stored.withColumns(
+        {"weakest_rsrp": F.get("signals", F.lit(0))["value"], "strongest_rsrp": F.try_element_at("signals", F.lit(-1))["value"]}
+    )

@@ -277,6 +277,36 @@ ORACLES: dict[str, str] = {
     ),
     "gold_p10_sketch": """SELECT o_orderpriority, count(o_totalprice) AS n, true AS within_error
          FROM orders GROUP BY o_orderpriority""",
+    "src_missing_table": _with(
+        """SELECT 'written' AS name, true AS present, count(*) AS n_rows FROM mdt WHERE hour < '06'
+           UNION ALL SELECT 'never', false, CAST(0 AS BIGINT)""",
+        "mdt",
+    ),
+    "prj_processing_time": _with(
+        """SELECT date, hour, count(*) AS n_rows, count(*) AS n_stamped, CAST(1 AS BIGINT) AS n_times
+           FROM mdt GROUP BY date, hour""",
+        "mdt",
+    ),
+    "dq_console_lines": _with(
+        """SELECT date, hour, printf(
+             '%s %s: %d rows, %d clean, %d quarantined, %d undecided, 0 unreadable, score %.2f%% (%d of %d rules failed)',
+             date, hour, total_raw_records, clean_count, dirty_count, undecided_count, success_percent, failed, evaluated)
+             AS line
+           FROM split JOIN score USING (date, hour)""",
+        "split",
+        "score",
+    ),
+    "prj_array_element": _with(
+        """SELECT date, hour, h3_index, cell_id, min(p_cell_rsrp) AS weakest_rsrp, max(p_cell_rsrp) AS strongest_rsrp
+           FROM enriched GROUP BY date, hour, h3_index, cell_id""",
+        "enriched",
+    ),
+    "ops_fates": _with(
+        """SELECT date, hour, CASE hour WHEN '04' THEN 'empty' WHEN '05' THEN 'unmappable' ELSE
+             CASE WHEN success_percent >= 50.0e0 THEN 'passed' ELSE 'blocked' END END AS fate FROM score
+           UNION ALL SELECT '2026-05-06', '00', 'missing'""",
+        "score",
+    ).replace(_EMPTY_CELL, _NO_CELL),
     "src_partition_scan": _with("SELECT * FROM mdt WHERE hour = '09'", "mdt"),
     "src_cell_sites": _with(
         "SELECT cell_code AS cell_id, x_ AS cell_lat, y_ AS cell_lon FROM cell_info", "cell_info"

@@ -183,6 +183,20 @@ def src_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.scan([Batch(DATE, "09")])
 
 
+@registered
+def src_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is there of two tables, of which one was never written."""
+    written, rows = _measurement_table(spark, sf_dir)
+    never = LakeTable(spark, Workspace(spark).path("never"), rows.schema)
+    found = []
+    for name, table in (("written", written), ("never", never)):
+        scan = table.scan_if_present(DAY[:6])
+        counted = None if scan is None else scan.agg(F.count(F.lit(1)).alias("n_rows"))
+        none = spark.range(1).select(F.lit(0).cast("bigint").alias("n_rows"))
+        found.append((none if counted is None else counted).select(F.lit(name).alias("name"), F.lit(scan is not None).alias("present"), "n_rows"))
+    return found[0].unionByName(found[1])
+
+
 @registered
 def src_cell_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return en.cell_sites(cell_info(spark, sf_dir))
@@ -260,6 +274,19 @@ def prj_record_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements(spark, sf_dir).select("event_id", serve.record_time())
 
 
+@registered
+def prj_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked rows of each hour, and how many carry a time within the run that checked them."""
+    lake = _landed_lake(spark, sf_dir)
+    began = spark.range(1).select(F.current_timestamp().alias("t")).first().t
+    lake.ingest(DAY)
+    lake.check(DAY)
+    within = F.col("processed_at").between(F.lit(began), F.current_timestamp())
+    return lake.checked.scan(DAY).groupBy(*schemas.BATCH_KEYS).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(within).alias("n_stamped"), F.count_distinct("processed_at").alias("n_times")
+    )
+
+
 @registered
 def flt_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean(spark, sf_dir)
@@ -324,6 +351,11 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drops.drop("created_at")
 
 
+@registered
+def dq_console_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report_lines(quality.report(measurements(spark, sf_dir)))
+
+
 @registered
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.gate(quality.report(measurements(spark, sf_dir)))
@@ -521,6 +553,13 @@ def gold_hex_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.indicators(hexes).drop("cell_lat", "cell_lon")
 
 
+@registered
+def prj_array_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weakest and strongest signal of each group: the first and last elements of its state's list."""
+    found = states.extremes(states.states(_enriched(spark, sf_dir)))
+    return found.select(*kpi.GOLD_KEYS, "weakest_rsrp", "strongest_rsrp")
+
+
 @registered
 def gold_p10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tenth percentile of order prices from merged sketches: whether its true rank is within the stated error."""
@@ -614,3 +653,17 @@ def ops_restated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = run_changed(lake, DAY, cells)
     idle = [b.hour for b in again.unchanged]
     return _hours_came_to(lake).withColumn("restated", ~F.col("hour").isin(idle))
+
+
+@registered
+def ops_fates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of hours: one without rows, one whose file cannot be mapped, one without a file, and the others."""
+    lake = _landed_lake(spark, sf_dir)
+    header = ",".join(f.name for f in schemas.LANDING)
+    for hour, text in (("04", header), ("05", "a,b\n1,2")):
+        lines = spark.createDataFrame([(text,)], "value string").coalesce(1)
+        lines.write.mode("overwrite").text(f"{lake.settings.landing}/slot={DATE}-{hour}")
+    outcome = run_range(lake, [*DAY, Batch("2026-05-06", "00")], cell_info(spark, sf_dir))
+    fates = ("passed", "blocked", "empty", "missing", "unmappable")
+    rows = [(b.date, b.hour, fate) for fate in fates for b in getattr(outcome, fate)]
+    return spark.createDataFrame(rows, "date string, hour string, fate string")

@@ -195,7 +195,11 @@ def digests(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "tex
     """``key``, ``n_tokens`` and sha256 of the decimal ids and of the bytes they decode to.
 
     Encodes and decodes one text after the other within one pass, so that ids
-    are not carried through Spark rows for the sake of a checksum.
+    are not carried through Spark rows for the sake of a checksum. Null and
+    empty texts have 0 tokens and the digests of nothing; very long texts are
+    split in parts; a null key is kept, rows that repeat are told each time,
+    and other columns, whatever their names, are not looked at. An empty table
+    gives no rows.
     """
     decimal = [str(i) for i in range(len(codec.tokens))]
 

@@ -275,6 +275,10 @@ def derived_replies(messages: DataFrame) -> DataFrame:
 
     By a hash, a reply quotes the whole message, the middle of it wrapped
     anew, or both halves with an answer in between; short ones are quoted whole.
+    Rows without ``conv_id`` or ``turn``, and texts without a letter or digit
+    (null and empty ones too), are not quoted. Of several rows of one turn the
+    least text is. Very long texts are quoted like others; other columns are
+    not looked at; an empty table gives no replies.
     """
     draw = lambda what, below: F.pmod(F.xxhash64(F.lit(what), "conv_id", "turn"), F.lit(below))
     placed = messages.where("conv_id IS NOT NULL AND turn IS NOT NULL")

@@ -20,18 +20,33 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base rules nor the learned list reject."""
+    """Documents that neither the base rules nor the learned list reject.
+
+    Null and empty texts have no words and go. Very long texts are judged as a
+    whole; rows that repeat are judged alike, null keys like others. Columns
+    are those of the input; an empty table stays empty.
+    """
     judged = quality.judge(docs, table(spark, sf_dir, "labels"), Workspace(spark))
     return judged.where("kept").select(docs.columns)
 
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates.
+
+    That of the smallest key; of rows equal in key and text any one. Texts
+    without words are no group and all stay. Very long texts are compared as a
+    whole; columns are those of the input; an empty table stays empty.
+    """
     return minhash.survivors(docs)
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced and ``n_chars`` counted anew where they were."""
+    """All documents, secrets in their texts replaced and ``n_chars`` counted anew where they were.
+
+    Null texts stay null; without ``n_chars`` none is made. Very long texts are
+    scanned as a whole, rows that repeat alike. Columns are those of the
+    input; an empty table stays empty.
+    """
     found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
     clean = secrets.redact(found)
     if "n_chars" in docs.columns:
@@ -41,12 +56,22 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as drawn, so that every source has the same share of bytes."""
+    """Documents as often as drawn, so that every source has the same share of bytes.
+
+    Null and empty texts weigh nothing and are drawn like others of their
+    source; a null source is one more. Rows of one key, or without key, get the
+    same number of copies. Columns are those of the input; an empty table
+    stays empty.
+    """
     return mixing.mix(docs).select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document's text, with its key and source."""
+    """Ids of each document's text, with its key and source.
+
+    Null and empty texts have none; very long ones are encoded as a whole; rows
+    that repeat are encoded each time. An empty table gives no rows.
+    """
     ids = bpe.encode(docs.select("doc_id", "source", "text"), bpe.Codec(bpe.read_ranks()))
     return ids.select("doc_id", "source", "n_tokens", "ids")
 

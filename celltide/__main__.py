@@ -21,7 +21,9 @@ from celltide.schemas import Batch
 from celltide.sources import jdbc
 from celltide.streaming.catchup import catch_up
 
-STAGES = ("ingest", "check", "enrich", "aggregate", "publish", "map", "all", "changed", "catch-up")
+log = logging.getLogger(__name__)
+
+STAGES = ("ingest", "check", "enrich", "aggregate", "publish", "map", "all", "changed", "reconcile", "compact", "catch-up")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet", choices=("parquet", "delta"))
     p.add_argument("--checkpoint", help="folder for catch-up's progress")
     p.add_argument("--out", help="folder for the day's map and audit rows")
+    p.add_argument("--file-mb", type=int, default=128, help="size of files that compact writes")
     return p
 
 
@@ -63,7 +66,8 @@ def cells(spark: SparkSession, args: argparse.Namespace, db: jdbc.Database | Non
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     db = database(spark)
-    lake = Lakehouse(spark, Settings(args.landing, args.lake, fmt=args.format, database=db))
+    size = args.file_mb << 20 if args.stage == "compact" else 0
+    lake = Lakehouse(spark, Settings(args.landing, args.lake, fmt=args.format, database=db, compact_bytes=size))
     if args.stage == "catch-up":
         if not args.checkpoint:
             raise SystemExit("--checkpoint is required")
@@ -82,6 +86,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         run_hours = run_range if args.stage == "all" else run_changed
         outcome = run_hours(lake, batches, cells(spark, args, db))
         return 1 if outcome.blocked or outcome.missing or outcome.unmappable else 0
+    if args.stage == "reconcile":
+        unequal = lake.reconcile(batches).where("NOT equal").collect()  # two rows an hour at most
+        for r in unequal:
+            log.error("%s %s %s: %d rows before, %d after", r.date, r.hour, r.step, r.rows_before, r.rows_after)
+        return 1 if unequal else 0
+    if args.stage == "compact":
+        for name, hours in lake.compact(batches).items():
+            log.info("%s: %d hours rewritten", name, hours)
+        return 0
     if args.stage == "check":
         return 1 if lake.check(batches).blocked else 0
     if args.stage == "enrich":

@@ -3,6 +3,7 @@ from helpers import land, measurement
 
 from celltide import __main__ as cli
 from celltide import schemas
+from celltide.plans.medallion import Lakehouse, Settings
 from celltide.schemas import Batch
 
 
@@ -37,6 +38,19 @@ def test_stages_one_by_one(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/audit/2026-05-05")).count() == 1
 
 
+def test_reconciling_and_compacting_an_hour(spark, tmp_path):
+    nine = Batch("2026-05-05", "09")
+    land(str(tmp_path / "landing"), nine, [measurement(cell_id=c) for c in "aabbb"])
+    spark.createDataFrame([("a", 21.5, 105.8)], schemas.CELL_INFO).write.parquet(str(tmp_path / "cells"))
+    more = ["--hour", "09", "--cells", str(tmp_path / "cells")]
+    for stage in ("all", "compact", "reconcile"):
+        assert cli.run(spark, _args(tmp_path, stage, *more)) == 0
+    lake = Lakehouse(spark, Settings(str(tmp_path / "landing"), str(tmp_path / "lake")))
+    rows = lake.workspace.stage(lake.enriched.scan(), "rows")
+    lake.enriched.replace(rows.where("cell_id = 'a'").repartition(3), [nine])
+    assert cli.run(spark, _args(tmp_path, "reconcile", *more)) == 1
+
+
 def test_a_blocked_hour_fails_the_command(spark, tmp_path):
     bad = measurement(lat=0.0, lng=0.0, p_cell_rsrp=-150, p_cell_rsrq=0.0, date_hour="x")
     land(str(tmp_path / "landing"), Batch("2026-05-05", "09"), [bad, measurement(lng=None)])

@@ -9,9 +9,12 @@ leaves ended, and renews the sums above what changed. The root has the count.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,52 @@ RUN = 32
 #: How far a pre-token's end may depend on what follows it: the splitting pattern looks two characters ahead at most.
 CONTEXT = 2
 EDITS = "array<struct<at:bigint,removed:bigint,inserted:string>>"
+_CACHED, _CACHED_CHARS = 400_000, 48
+_CHARS_AT_ONCE, _PIECES_AT_ONCE = 1_000_000, 100_000
+
+
+class _Counts(dict):
+    """Numbers of tokens of pre-tokens; those of the short ones met so far are kept, up to a bound."""
+
+    def __init__(self, codec: Codec) -> None:
+        ranks = {token: rank for rank, token in enumerate(codec.tokens)}
+        self.encode = tiktoken.Encoding(
+            "ranks", pat_str=codec.pattern, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
+
+    def __missing__(self, piece: str) -> int:
+        n = len(self.encode(piece))
+        if len(piece) <= _CACHED_CHARS:
+            if len(self) >= _CACHED:
+                self.clear()
+            self[piece] = n
+        return n
+
+
+class _Counter:
+    """What a task needs to count by a codec: its pattern, and ``count``, from pre-tokens to numbers of tokens."""
+
+    def __init__(self, codec: Codec) -> None:
+        self.regex, self.count = regex.compile(codec.pattern), _Counts(codec).__getitem__
+
+    @staticmethod
+    def of(codec: Codec) -> _Counter:
+        """That of a codec, made once in each task; it is not shipped."""
+        if not hasattr(codec, "_counter"):
+            codec._counter = _Counter(codec)
+        return codec._counter
+
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """All pre-tokens; those of a very long text come in parts, so that memory stays bounded."""
+        if len(text) <= _CHARS_AT_ONCE:
+            yield self.regex.findall(text)
+            return
+        found = (m.group() for m in self.regex.finditer(text))
+        while part := list(islice(found, _PIECES_AT_ONCE)):
+            yield part
+
+
+_NONE = np.zeros(0, np.int64)
 
 
 class Tree:
@@ -67,12 +116,12 @@ class Tree:
 
     def renew(self, first: int, chars: np.ndarray, tokens: np.ndarray) -> None:
         """Replace leaves from ``first`` on, and the sums above them only."""
-        lo, hi = self.width + first, self.width + first + len(chars)
-        self.chars[lo:hi], self.tokens[lo:hi] = chars, tokens
-        while lo > 1:
-            lo, hi = lo // 2, (hi - 1) // 2 + 1
-            for sums in (self.chars, self.tokens):
-                sums[lo:hi] = sums[2 * lo : 2 * hi].reshape(-1, 2).sum(axis=1)
+        for leaf, (of_chars, of_tokens) in enumerate(zip(chars.tolist(), tokens.tolist(), strict=True), self.width + first):
+            more_chars, more_tokens = of_chars - int(self.chars[leaf]), of_tokens - int(self.tokens[leaf])
+            while leaf:
+                self.chars[leaf] += more_chars
+                self.tokens[leaf] += more_tokens
+                leaf //= 2
 
     def replace(self, first: int, last: int, chars: np.ndarray, tokens: np.ndarray) -> Tree:
         """The tree with leaves ``first .. last - 1`` replaced; built anew only if their number changes."""
@@ -87,27 +136,26 @@ class Tree:
         )
 
 
-def _runs(chars: list[int], tokens: list[int], into: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over runs of ``RUN`` pre-tokens, or over ``into`` runs of about equal length if none gets longer than two."""
+def _runs(chars: list[int], tokens: list[int], into: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over ``into`` runs of about equal length, or, if these got longer than two, over runs of ``RUN`` pre-tokens."""
     n = len(chars)
-    if not n and not into:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     if into and n <= 2 * RUN * into:
-        starts = np.arange(into) * n // into
+        cuts = [i * n // into for i in range(into + 1)]
     else:
-        starts = np.arange(0, n, RUN)
-    sums = [np.concatenate([[0], np.cumsum(values, dtype=np.int64)]) for values in (chars, tokens)]
-    ends = np.append(starts[1:], n)
-    return sums[0][ends] - sums[0][starts], sums[1][ends] - sums[1][starts]
+        cuts = [*range(0, n, RUN), n]
+    sums = [[sum(values[lo:hi]) for lo, hi in zip(cuts, cuts[1:], strict=False)] for values in (chars, tokens)]
+    return np.array(sums[0], np.int64), np.array(sums[1], np.int64)
 
 
 def build_tree(text: str, codec: Codec) -> Tree:
     """The tree of a whole text; an empty one has no leaves."""
-    chars, tokens = [], []
-    for piece in codec.pre_tokens(text):
-        chars.append(len(piece))
-        tokens.append(codec.count(piece))
-    return Tree(*_runs(chars, tokens))
+    counter, chars, tokens = _Counter.of(codec), [], []
+    for pieces in counter.parts(text):  # parts of a long text are whole runs
+        n = len(pieces)
+        runs = np.arange(0, n, RUN)
+        chars.append(np.add.reduceat(np.fromiter(map(len, pieces), np.int64, n), runs) if n else _NONE)
+        tokens.append(np.add.reduceat(np.fromiter(map(counter.count, pieces), np.int64, n), runs) if n else _NONE)
+    return Tree(np.concatenate(chars), np.concatenate(tokens))
 
 
 def edit(text: str, tree: Tree, at: int, removed: int, inserted: str, codec: Codec) -> tuple[str, Tree, int]:
@@ -115,35 +163,34 @@ def edit(text: str, tree: Tree, at: int, removed: int, inserted: str, codec: Cod
 
     ``at`` and ``removed`` are code points; what lies outside the text is cut off.
     """
+    counter = _Counter.of(codec)
     at = min(max(at, 0), len(text))
     removed = min(max(removed, 0), len(text) - at)
     if not removed and not inserted:
         return text, tree, 0
     text = text[:at] + inserted + text[at + removed :]
     if not tree.leaves:
-        fresh = build_tree(text, codec)
-        return text, fresh, sum(1 for _ in codec.pre_tokens(text))
-    first, begin = tree.first_ending_at(at - CONTEXT)
-    grown = len(inserted) - removed
-    # old leaf ends behind the edit, where they lie now
-    last, end = first, begin
-    leaf_chars = tree.chars[tree.width : tree.width + tree.leaves]
+        return text, build_tree(text, codec), sum(map(len, counter.parts(text)))
+    first, place = tree.first_ending_at(at - CONTEXT)
+    grown, behind = len(inserted) - removed, at + removed
+    # old leaf ends, as they lay before the edit
+    last, end = first, place
+    of_leaf, leaves = tree.chars.item, tree.leaves
     chars: list[int] = []
     tokens: list[int] = []
-    place, met = begin, False
-    tail = text[begin:] if begin else text
-    for piece in codec.pre_tokens(tail):
-        place += len(piece)
-        chars.append(len(piece))
-        tokens.append(codec.count(piece))
-        while last < tree.leaves and (end < at + removed or end + grown < place):
-            end += int(leaf_chars[last])
+    met = False
+    for found in counter.regex.finditer(text, place):
+        before, place = place, found.end()
+        chars.append(place - before)
+        tokens.append(counter.count(found.group()))
+        while last < leaves and (end < behind or end + grown < place):
+            end += of_leaf(tree.width + last)
             last += 1
-        if end >= at + removed and end + grown == place:
+        if end >= behind and end + grown == place:
             met = True
             break
     if not met:
-        last = tree.leaves
+        last = leaves
     changed = _runs(chars, tokens, last - first)
     return text, tree.replace(first, last, *changed), len(chars)
 
@@ -239,7 +286,10 @@ def derived_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", numb
     """Adds ``edits``: for each document some cuts and moves of its own text, placed by hashes of its key.
 
     Edit k removes up to 39 code points; all but every third insert up to 29
-    code points copied from elsewhere in the text.
+    code points copied from elsewhere in the text. A null or empty text has
+    edits that change nothing. Places depend on the key and the text's length
+    alone, so rows that repeat get equal edits, and null keys one draw. An
+    input column ``edits`` is replaced; an empty table stays empty.
     """
     length = F.char_length(F.coalesce(F.col(text), F.lit("")))
     draw = lambda what, k, below: F.pmod(F.xxhash64(F.lit(what), F.lit(k), F.col(key)), below)

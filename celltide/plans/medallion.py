@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from celltide import schemas
 from celltide.functions.grid import Grid, HexGrid
+from celltide.functions.morton import clustered, in_box
 from celltide.operators import enrich as en
 from celltide.operators import kpi, quality, serve, states
 from celltide.operators.digest import digests, reconciled
@@ -50,6 +51,8 @@ class Settings:
     count_repeats: bool = False
     #: size of files that hours with many small ones are rewritten to; 0 leaves them
     compact_bytes: int = 0
+    #: files per hour of the enriched table laid out along the Morton curve; 0 leaves rows as they come
+    curve_files: int = 0
 
 
 @dataclass(frozen=True)
@@ -175,10 +178,11 @@ class Lakehouse:
         clean = self.clean(batches)
         positions = en.cell_positions(clean, sites, self.workspace)
         centre = ("h3_center_lat", "h3_center_lon")
-        rows = en.enrich(clean, positions, s.grid, s.distance, centre)
-        self.enriched.replace(
-            rows.select(*schemas.ENRICHED.names), batches, rebalance=en.scatters(clean, positions)
-        )
+        rows = en.enrich(clean, positions, s.grid, s.distance, centre).select(*schemas.ENRICHED.names)
+        if s.curve_files:
+            # staged: the layout numbers rows, which a scan does alike when a task runs again
+            rows = clustered(self.workspace.stage(rows, "enriched"), s.curve_files * len(batches), s.domain)
+        self.enriched.replace(rows, batches, rebalance=not s.curve_files and en.scatters(clean, positions))
         self.workspace.clear()
 
     def aggregate(self, batches: Sequence[Batch], admitted: bool = False) -> None:
@@ -254,6 +258,10 @@ class Lakehouse:
         gold = self.gold.scan_if_present(Batch.day(date))
         return None if gold is None else serve.map_day(gold, date)
 
+    def box(self, batches: Sequence[Batch], lat: tuple[float, float], lng: tuple[float, float]) -> DataFrame:
+        """Enriched rows of some hours within a box; with ``curve_files`` most row groups outside are not read."""
+        return self.enriched.scan(batches).filter(in_box(lat, lng))
+
     def audit_day(self, date: str) -> DataFrame | None:
         report = self.reports.scan_if_present(Batch.day(date))
         return None if report is None else serve.audit_day(report, date)

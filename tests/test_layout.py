@@ -90,6 +90,24 @@ def test_a_run_compacts_its_tables(spark, tmp_path):
     assert as_set(lake.enriched.scan()) == before
 
 
+def test_the_enriched_table_may_follow_the_curve(spark, tmp_path):
+    for b in DAY:
+        rows_ = [measurement(hour=b.hour, cell_id=f"c{i % 5}", lat=21.5 + i / 1000, lng=105.8 + (i * 7 % 40) / 1000) for i in range(40)]
+        land(str(tmp_path / "landing"), b, rows_)
+    cells = spark.createDataFrame([("c1", 21.5, 105.8)], schemas.CELL_INFO)
+    plain, curved = (
+        Lakehouse(spark, Settings(str(tmp_path / "landing"), str(tmp_path / name), curve_files=n)) for name, n in (("plain", 0), ("curved", 2))
+    )
+    columns = [c for c in schemas.ENRICHED.names if c != "processed_at"]
+    for lake in (plain, curved):
+        run_range(lake, DAY, cells)
+    assert as_set(curved.enriched.scan(), *columns) == as_set(plain.enriched.scan(), *columns)
+    box = ((21.51, 21.52), (105.8, 105.83))
+    found = as_set(curved.box(DAY[:2], *box), *columns)
+    assert found and found == as_set(plain.box(DAY[:2], *box), *columns)
+    assert max(len(s) for s in curved.enriched.file_sizes(DAY).values()) <= 3
+
+
 def bits_in_turn(lat, lng, domain=RadioDomain()):
     def step(v, low, high):
         return min(max(int((v - low) / (high - low) * (1 << BITS)), 0), (1 << BITS) - 1)

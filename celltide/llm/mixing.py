@@ -8,6 +8,7 @@ globally by a second hash. The same seed gives the same mixture anywhere.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,16 +21,32 @@ from celltide.sources.workspace import Workspace
 SEED = "mix-1"
 
 
-def poisson_steps(rate: Column) -> Column:
-    """The distribution function at 0, 1, 2, ..., until the rest is below double precision.
+def first_step(rate: Column) -> Column:
+    """The number of copies below which a draw falls with a chance below double precision; 0 for small rates."""
+    return F.greatest(F.floor(rate - 12 * F.sqrt(rate) - 30), F.lit(0)).cast("int")
 
-    Terms are built in logarithms, so a large rate does not underflow to all zeros.
+
+def _log_factorial(n: Column) -> Column:
+    """ln(n!) by Stirling's series, which has double precision where it is asked for: from 30 on, or at 0."""
+    x = n.cast("double")
+    series = x * F.log(x) - x + F.log(F.lit(2 * math.pi) * x) / 2 + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return F.when(n == 0, F.lit(0.0)).otherwise(series)
+
+
+def poisson_steps(rate: Column, first: Column | None = None) -> Column:
+    """The distribution function at ``first`` (0), and on, until the rest is below double precision.
+
+    Terms are built in logarithms, so a large rate does not underflow to all
+    zeros. Begun at ``first_step`` the list is as long as 24 times the root of
+    the rate, and what lies below it is less than a double can tell.
     """
+    first = F.lit(0) if first is None else first
     last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct((-rate).alias("term"), F.lit(0.0).alias("total"), F.array().cast("array<double>").alias("steps"))
+    start = F.struct(F.lit(0.0).alias("term"), F.lit(0.0).alias("total"), F.array().cast("array<double>").alias("steps"))
+    at_first = F.when(first == 0, -rate).otherwise(first * F.log(rate) - rate - _log_factorial(first))
 
     def step(state: Column, k: Column) -> Column:
-        term = F.when(k == 0, -rate).otherwise(state["term"] + F.log(rate / k))
+        term = F.when(k == first, at_first).otherwise(state["term"] + F.log(rate / k))
         return let(
             term,
             lambda t: F.struct(
@@ -39,7 +56,7 @@ def poisson_steps(rate: Column) -> Column:
             ),
         )
 
-    steps = F.aggregate(F.sequence(F.lit(0), last), start, step, lambda state: state["steps"])
+    steps = F.aggregate(F.sequence(first, last), start, step, lambda state: state["steps"])
     return F.when(rate > 0, steps).otherwise(F.array(F.lit(1.0)))
 
 
@@ -98,25 +115,28 @@ def mix(
     workspace = Workspace(docs.sparkSession)
     steps = workspace.stage(
         rates(docs, workspace, weights, epochs, source).select(
-            F.col("source").alias("_source"), "rate", poisson_steps(F.col("rate")).alias("_steps")
+            F.col("source").alias("_source"),
+            "rate",
+            first_step(F.col("rate")).alias("_first"),
+            poisson_steps(F.col("rate"), first_step(F.col("rate"))).alias("_steps"),
         ),
         "rates",
     )
     width = F.coalesce(F.octet_length("_source"), F.lit(0)) + 8 * F.size("_steps") + 96
     size = steps.agg(F.sum(width)).first()[0]
-    clean = without(docs, ["rate", "copy", "mix_order", "_source", "_steps", "_salt"])
+    clean = without(docs, ["rate", "copy", "mix_order", "_source", "_first", "_steps", "_salt"])
     drawn = left_lookup(
         clean.withColumn("_source", F.col(source)), Lookup(steps, ("_source",), size or 0), null_safe=True
     )
     draw = unit(F.lit(seed), F.lit("copies"), as_key(F.col(key)))
-    copies = let(draw, lambda u: F.size(F.filter(F.col("_steps"), lambda s: s <= u)))
+    copies = let(draw, lambda u: F.col("_first") + F.size(F.filter(F.col("_steps"), lambda s: s <= u)))
     order = unit(F.lit(seed), F.lit("order"), as_key(F.col(key)), F.col("copy").cast("string"))
     return (
         drawn.withColumn("_copies", copies)
         .where("_copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .withColumn("mix_order", order)
-        .drop("_source", "_steps", "_copies")
+        .drop("_source", "_first", "_steps", "_copies")
         .repartition("mix_order")
         .sortWithinPartitions("mix_order")
     )

@@ -29,6 +29,24 @@ def test_distribution_function(spark, rate):
             assert steps[k] == pytest.approx(want, rel=1e-9, abs=1e-14)
 
 
+@pytest.mark.parametrize("rate", [500.0, 2000.0, 250_000.0])
+def test_large_rates_begin_near_their_mean(spark, rate):
+    row = spark.range(1).select(mixing.first_step(F.lit(rate)).alias("first"), mixing.poisson_steps(F.lit(rate), mixing.first_step(F.lit(rate))).alias("s"))
+    first, steps = row.first()
+    assert 0 < first < rate and len(steps) < 24 * math.sqrt(rate) + 63
+    assert steps == sorted(steps) and steps[0] < 1e-15 and steps[-1] == pytest.approx(1)
+    for k in (int(rate - 2 * math.sqrt(rate)), int(rate), int(rate + math.sqrt(rate))):
+        want = math.fsum(math.exp(i * math.log(rate) - rate - math.lgamma(i + 1)) for i in range(first, k + 1))
+        assert steps[k - first] == pytest.approx(want, rel=1e-8)
+
+
+def test_a_source_far_smaller_than_the_rest_is_mixed(spark):
+    rows = [(i, "x" * 1000, "en", "large", 1000) for i in range(400)] + [(1000, "y", "en", "tiny", 1)]
+    sizes = Counter(r.source for r in mixing.mix(frame(spark, rows)).select("source").collect())
+    # 200,500 copies of the tiny text are expected, with a deviation of 448
+    assert abs(sizes["tiny"] - 200_000.5) < 4 * 448 and abs(sizes["large"] - 200) < 80
+
+
 def docs(n=600):
     return [(i, "x" * (10 + i % 13), "en", "abc"[0 if i % 3 else 1 + i % 2], 1) for i in range(n)]
 

@@ -34,7 +34,8 @@ CAPACITY = 2048
 END = 0
 #: Pieces longer than the longest one divided by this are placed together.
 SPAN = 4
-ROWS_PER_RANGE = 200_000
+#: Ranges of a sweep: one for so many rows, and so many at least.
+ROWS_PER_RANGE, RANGES = 200_000, 8
 _PLACE, _PIECE, _PAIR = 0, 1, 2
 _EVENTS = "kind int, size bigint, item bigint, sequence bigint, slot int"
 _SWEPT = f"{_EVENTS}, part int, rank bigint"
@@ -141,7 +142,7 @@ def _stacked(left: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
 def _sweep(events: DataFrame, workspace: Workspace, n_events: int) -> DataFrame:
     """All pairs and leftovers of a sweep over ``events``, as rows of ``_SWEPT``."""
     spark = events.sparkSession
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_events // ROWS_PER_RANGE)
+    ranges = max(RANGES, n_events // ROWS_PER_RANGE)
     order = [F.col("size").desc(), "kind", "item", "sequence", "slot"]  # no two alike: equal sizes spread over ranges
     sorted_events = events.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     swept = workspace.stage(sorted_events.mapInArrow(_match, _SWEPT), "swept")

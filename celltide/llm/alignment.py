@@ -35,9 +35,12 @@ from celltide.sources.workspace import Workspace
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: A chunk ends after so many documents or links (a longer document is a chunk by itself).
 CHUNK_DOCS, CHUNK_LINKS = 4096, 1 << 21
+#: An interval of fewer tokens is not halved any more.
+SHORT = 16
 #: How much farther from the middle each further look goes.
 WIDER = 8
 _B_BITS = 32
+_SPACE = "\u2581"
 
 
 class PieceVocabulary:
@@ -63,7 +66,7 @@ class PieceVocabulary:
         processor = self._ready()
         pieces = ((i, processor.id_to_piece(i)) for i in range(processor.get_piece_size()))
         return [
-            bytes([int(p[3:5], 16)]) if processor.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces
+            bytes([int(p[3:5], 16)]) if processor.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in pieces
         ]
 
 
@@ -74,11 +77,13 @@ def _near_middle(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -
     ever farther from it on both sides, and so at each end once at most.
     """
     middle = (lo + hi - 1) // 2
-    at_a, at_b = np.full(len(lo), -1), np.full(len(lo), -1)
-    todo, inner, outer = np.arange(len(lo)), 0, 1
+    found = np.searchsorted(b, a[middle])
+    common = b[found] == a[middle]
+    at_a, at_b = np.where(common, middle, -1), np.where(common, found, -1)
+    todo, inner, outer = np.flatnonzero(~common & (hi - lo > 1)), 1, WIDER
     while len(todo):
         low, high, mid = lo[todo], hi[todo] - 1, middle[todo]
-        starts = [np.maximum(low, mid - outer + 1), mid + max(inner, 1)]
+        starts = [np.maximum(low, mid - outer + 1), mid + inner]
         ends = [mid - inner, np.minimum(high, mid + outer - 1)]
         owner, place = [], []
         for start, end in zip(starts, ends, strict=True):
@@ -104,10 +109,21 @@ def shared_cuts(
     """Places in ``a`` and ``b`` of all common ends, in order.
 
     ``a`` and ``b`` rise strictly; intervals ``lo .. hi``, both included, end
-    at a common end and hold the same bytes (one interval a document).
+    at a common end and hold the same bytes (one interval a document). Those
+    of a few tokens are settled at once, by a bisection for each of their ends.
     """
     cuts_a, cuts_b = [hi_a], [hi_b]
     while len(lo_a):
+        short = hi_a - lo_a < SHORT
+        n = (hi_a - lo_a)[short]
+        order = np.argsort(lo_a[short], kind="stable")  # in order of bytes, bisections touch neighbouring memory
+        n, start = n[order], lo_a[short][order]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
+        found = np.searchsorted(b, a[place])
+        common = b[found] == a[place]
+        cuts_a.append(place[common])
+        cuts_b.append(found[common])
+        lo_a, hi_a, lo_b, hi_b = lo_a[~short], hi_a[~short], lo_b[~short], hi_b[~short]
         divisible = (hi_a > lo_a) & (hi_b > lo_b)  # one token on a side makes a leaf
         lo_a, hi_a, lo_b, hi_b = lo_a[divisible], hi_a[divisible], lo_b[divisible], hi_b[divisible]
         at_a, at_b = _near_middle(a, b, lo_a, hi_a)
@@ -154,9 +170,8 @@ class Aligner:
             return none, none
         spaced = f" {text}"
         found, data = (self.a.encode(spaced), self.b.encode(text)), spaced.encode()
-        for ids, tokens in zip(found, self._bytes, strict=True):
-            if b"".join(map(tokens.__getitem__, ids.tolist())) != data:
-                return none, none
+        if self.a.decode(found[0]) != data or b"".join(map(self._bytes[1].__getitem__, found[1].tolist())) != data:
+            return none, none
         return found
 
     def align(self, texts: list[str | None]) -> Alignment:
@@ -234,11 +249,16 @@ _OF_DOC = ("_key", "n_a", "n_b", "n_links", "groups_sha256", "codes", "times")
 _ANSWER = (("code", "bigint"), ("total", "bigint"), ("best", "boolean"))
 
 
+def _code_type(n_pairs: int) -> str:
+    """Codes of a chunk with so many pairs: two bytes where these do."""
+    return "<u2" if n_pairs <= 1 << 16 else "<u4"
+
+
 def _chunks(docs: DataFrame, aligner: Aligner, key: str, text: str) -> DataFrame:
     """A row per document, with the codes of its links, and one per chunk, with the pairs that the codes stand for.
 
-    Both have ``times``: how often a document has each of its codes, and a
-    chunk each of its pairs.
+    Both have ``times``: how often a document has each of its codes, which
+    come sorted, and a chunk each of its pairs.
     """
     schema = T.StructType([T.StructField("_key", docs.schema[key].dataType), *(T.StructField(n, t) for n, t in _CHUNKS)])
 
@@ -258,14 +278,13 @@ def _chunks(docs: DataFrame, aligner: Aligner, key: str, text: str) -> DataFrame
         def ended() -> Iterator[pa.RecordBatch]:
             every = np.concatenate(links)
             pairs, code, times = np.unique(every, return_inverse=True, return_counts=True)
+            code = code.astype(_code_type(len(pairs)))
             at = 0
             for keys, found, sha in waiting:
-                codes, counts = [], []
-                for n in np.diff(found.from_cut).tolist():
-                    own, often = np.unique(code[at : at + n], return_counts=True)
-                    codes.append(own.astype("<u4").tobytes())
-                    counts.append(often.astype("<u4").tobytes())
-                    at += n
+                ends = (at + found.from_cut).tolist()
+                own = [np.unique(code[lo:hi], return_counts=True) for lo, hi in zip(ends, ends[1:], strict=False)]
+                codes, counts = [c.tobytes() for c, _ in own], [n.astype("<u4").tobytes() for _, n in own]
+                at = ends[-1]
                 n_a, n_b, n_links = (np.diff(v) for v in (found.from_a, found.from_b, found.from_cut))
                 yield rows(
                     keys, len(keys), n_a=n_a, n_b=n_b, n_links=n_links, groups_sha256=sha, codes=codes, times=counts
@@ -353,11 +372,12 @@ def agreement(docs: DataFrame, aligner: Aligner, key: str = "doc_id", text: str
                 if not telling:  # all answers of the chunk have come
                     none = np.zeros(0, np.int64)
                     totals, bests, telling = np.concatenate([none, *total]), np.concatenate([none, *best]), True
+                kind = _code_type(len(totals))
                 n_best, count_sum = [], []
                 for code, often in zip(column(run, "codes").to_pylist(), column(run, "times").to_pylist(), strict=True):
-                    own, n = np.frombuffer(code, "<u4"), np.frombuffer(often, "<u4").astype(np.int64)
-                    n_best.append(int((bests[own] * n).sum()))
-                    count_sum.append(int((totals[own] * n).sum()))
+                    own, n = np.frombuffer(code, kind), np.frombuffer(often, "<u4").astype(np.int64)
+                    n_best.append(int(bests[own] @ n))
+                    count_sum.append(int(totals[own] @ n))
                 made = {n: column(run, n) for n in _OF_DOC[:-2]}
                 yield pa.RecordBatch.from_pydict(
                     made | {"n_best": pa.array(n_best, pa.int64()), "count_sum": pa.array(count_sum, pa.int64())}

@@ -27,13 +27,20 @@ class ByteVocabulary:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids as unsigned 32-bit numbers; special tokens where the vocabulary was given some."""
+    def _ready(self) -> tiktoken.Encoding:
         if not hasattr(self, "_encoding"):
             self._encoding = tiktoken.Encoding(
                 "ranks", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens=self.special
             )
-        return self._encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+        return self._encoding
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids as unsigned 32-bit numbers; special tokens where the vocabulary was given some."""
+        return self._ready().encode_to_numpy(text, allowed_special="all", disallowed_special=())
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of all ids, joined."""
+        return self._ready().decode_bytes(ids.tolist())
 
     def token_bytes(self) -> list[bytes]:
         """The bytes of each id."""

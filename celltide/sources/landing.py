@@ -175,17 +175,26 @@ def landed(
     return [b for b in batches if b in there]
 
 
-def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The names in the first line of a file; none if it is empty. Reads that line only."""
-    fs, target = hadoop_path(spark, path)
+def read_headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, ...]]:
+    """The names in the first line of each file, none of an empty one. Reads these lines only, some files at a time."""
+    if not paths:
+        return []
     jvm = spark.sparkContext._jvm
-    stream = fs.open(target)
-    try:
-        head = jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEADER_BYTES)
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(head, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+    fs, _ = hadoop_path(spark, paths[0])  # files of one folder have one file system
+    # looked up once: each name costs a call
+    path_of, bounded = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.input.BoundedInputStream
+    decoded, buffered = jvm.java.io.InputStreamReader, jvm.java.io.BufferedReader
+
+    def read(path: str) -> tuple[str, ...]:
+        stream = fs.open(path_of(path))
+        try:
+            line = buffered(decoded(bounded(stream, HEADER_BYTES), "UTF-8")).readLine()
+        finally:
+            stream.close()
+        return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+
+    with ThreadPoolExecutor(READERS) as pool:
+        return list(pool.map(read, paths))
 
 
 def unmappable(header: tuple[str, ...]) -> str | None:
@@ -210,8 +219,7 @@ def layout(spark: SparkSession, files: Sequence[LandingFile]) -> Layout:
     """
     found, by_header = Layout(), defaultdict(list)
     filled = [f for f in files if f.length]
-    with ThreadPoolExecutor(READERS) as pool:
-        headers = list(pool.map(lambda f: read_header(spark, f.path), filled))
+    headers = read_headers(spark, [f.path for f in filled])
     for file, header in zip(filled, headers, strict=True):
         why = unmappable(header)
         if why:

@@ -98,7 +98,7 @@ def test_headers_that_cannot_be_mapped(spark, folder, header, why):
 
 def test_a_line_without_an_end_is_no_header(spark, folder):
     write(folder, NINE, "x" * 300_000)
-    assert len(landing.read_header(spark, str(folder / f"mdt_records_{NINE.key}.csv"))[0]) == landing.HEADER_BYTES
+    assert len(landing.read_headers(spark, [str(folder / f"mdt_records_{NINE.key}.csv")])[0][0]) == landing.HEADER_BYTES
     with pytest.raises(landing.UnmappableHeaderError):
         read(spark, folder, NINE)
 
